@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
+from curbsight.functions import strip_whitespace
 from curbsight.operators import answers, documents, evidence, nearest, reports, routing
 from curbsight.operators.encoder import TermEncoder
 from curbsight.sources import storage
@@ -56,9 +57,10 @@ def report_set(gold: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFram
 
 
 def distinct_questions(questions: DataFrame) -> DataFrame:
-    """Each question once with how often it was asked, so that a question asked by everybody
-    is answered once."""
-    asked = questions.where(F.length("question") > 0).groupBy("question").agg(F.count("*").alias("times_asked"))
+    """Each question once with how often it was asked, so that one asked by everybody is
+    answered once. Blank ones ask nothing."""
+    stripped = questions.select(strip_whitespace(F.col("question")).alias("question"))
+    asked = stripped.where(F.col("question") != "").groupBy("question").agg(F.count("*").alias("times_asked"))
     return asked.withColumn("query_id", F.sha2("question", 256))
 
 

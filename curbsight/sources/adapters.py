@@ -141,4 +141,5 @@ def _mean_vector() -> Column:
 
 
 def _property_id(number: Column) -> Column:
-    return F.format_string("CUST_%05d", number)
+    digits = number.cast("string")
+    return F.concat(F.lit(fv.ID_PREFIX), F.lpad(digits, F.greatest(F.length(digits), F.lit(5)), F.lit("0")))
