@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def pick(values: Sequence[str], index: Column) -> Column:
-    """``values[index]`` for a zero-based index column; null index gives null."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    """``values[index]`` for a zero-based index column; a null index gives null.
+
+    ``get`` and not ``element_at``: the latter takes a null index into an array
+    without nulls for a value.
+    """
+    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
 def code_point_sum(text: Column) -> Column:

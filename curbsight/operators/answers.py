@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
 from curbsight.functions import dollars, text_or_none
+from curbsight.sources.tables import mapping_table
 
 
 def _line(*parts: tuple[str, Column]) -> Column:
@@ -86,8 +87,7 @@ def answer_texts(lines: DataFrame, titles: dict[str, str] = fv.INTENT_TITLES) ->
 
     A report has at most a handful of lines, so gathering them is safe.
     """
-    spark = lines.sparkSession
-    names = spark.createDataFrame(list(titles.items()), "intent string, title string")
+    names = mapping_table(lines.sparkSession, titles, "intent", "title")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "line"))), _text), "\n")
     gathered = lines.groupBy("intent").agg(body.alias("body"))
     found = F.concat("title", F.lit(":\n\n"), "body")

@@ -19,10 +19,10 @@ REPORT_INSTRUCTION = (
 )
 
 
-def attach_documents(hits: DataFrame, documents: DataFrame, doc_id: str, hit_id: str = "vec_id") -> DataFrame:
+def attach_documents(hits: DataFrame, documents: DataFrame, doc_id: str) -> DataFrame:
     """Hits with their documents. Hits are few per query; once they are written, Spark sees
     their size and ships them to the documents instead of moving the texts."""
-    return hits.withColumnRenamed(hit_id, doc_id).join(documents, doc_id)
+    return hits.join(documents, doc_id)
 
 
 def previews(hits: DataFrame, chars: int = fv.PREVIEW_CHARS) -> DataFrame:
@@ -73,7 +73,8 @@ def ranked_evidence(ranked: DataFrame, tickets: DataFrame) -> DataFrame:
     A top-k report is one row per property and its limit bounds its size, so
     Spark ships it to the tickets without a hint.
     """
-    return tickets.join(ranked.select("position", "property_id", "property_name"), "property_id")
+    best = ranked.select("position", "property_id", "property_name")
+    return tickets.drop("position", "property_name").join(best, "property_id")
 
 
 def properties_with_complaints(properties: DataFrame, tickets: DataFrame) -> DataFrame:

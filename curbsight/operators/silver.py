@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
 from curbsight.functions import code_lookup, pick, property_number
+from curbsight.sources.tables import mapping_table
 
 
 def rename_columns(tickets: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def malformed_ids(tickets: DataFrame, id_column: str = "customer_id") -> DataFra
 def category_table(
     spark: SparkSession, mapping: Mapping[str, str] = fv.SERVICE_CATEGORY_BY_ISSUE
 ) -> DataFrame:
-    return spark.createDataFrame(list(mapping.items()), "issue_type string, service_category string")
+    return mapping_table(spark, mapping, "issue_type", "service_category")
 
 
 def with_category_from_table(

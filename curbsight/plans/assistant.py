@@ -17,18 +17,23 @@ from curbsight.sources import storage
 
 @dataclass(frozen=True)
 class DocumentIndex:
-    """Rendered documents with their vectors, and the encoder that made them."""
+    """Rendered documents, their vectors under the same id, and the encoder that made them."""
 
     documents: DataFrame
+    vectors: DataFrame
     encoder: TermEncoder
     doc_id: str = "ticket_id"
 
 
 def build_index(tickets: DataFrame, churn: DataFrame, doc_id: str = "ticket_id") -> DocumentIndex:
-    """Render and encode all tickets; the vectors are stored with the texts."""
-    rendered = storage.materialize(documents.render(documents.with_property_risk(tickets, churn)), "documents")
+    """Render and encode all tickets. Texts are stored once; a search reads vectors only."""
+    labelled = documents.with_property_risk(tickets, churn)
+    rendered = storage.materialize(
+        documents.render(labelled).select(doc_id, "page_content", "metadata"), "documents"
+    )
     encoder = TermEncoder.fit(rendered)
-    return DocumentIndex(storage.materialize(encoder.encode(rendered), "vectors"), encoder, doc_id)
+    encoded = encoder.encode(rendered).select(doc_id, "embedding")
+    return DocumentIndex(rendered, storage.materialize(encoded, "vectors"), encoder, doc_id)
 
 
 def retrieve(index: DocumentIndex, questions: DataFrame, k: int = fv.RETRIEVAL_K) -> DataFrame:
@@ -37,9 +42,8 @@ def retrieve(index: DocumentIndex, questions: DataFrame, k: int = fv.RETRIEVAL_K
     ``questions`` has ``query_id`` and ``question``.
     """
     encoded = index.encoder.encode(questions, text="question")
-    hits = nearest.nearest(index.documents, encoded, k, vec_id=index.doc_id)
-    texts = index.documents.select(index.doc_id, "page_content", "metadata")
-    return evidence.attach_documents(storage.materialize(hits, "hits"), texts, index.doc_id, index.doc_id)
+    hits = nearest.nearest(index.vectors, encoded, k, vec_id=index.doc_id)
+    return evidence.attach_documents(storage.materialize(hits, "hits"), index.documents, index.doc_id)
 
 
 def report_set(gold: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
@@ -64,6 +68,14 @@ def distinct_questions(questions: DataFrame) -> DataFrame:
     return asked.withColumn("query_id", F.sha2("question", 256))
 
 
+def rag_prompts(questions: DataFrame, index: DocumentIndex) -> DataFrame:
+    """The retrieval prompt of each distinct question."""
+    asked = storage.materialize(distinct_questions(questions), "questions")
+    found = evidence.contexts(retrieve(index, asked))
+    prompt = evidence.rag_prompt(F.col("question"), F.col("context"))
+    return asked.join(found, "query_id", "left").select("question", prompt.alias("rag_prompt"))
+
+
 def pipeline_state(
     questions: DataFrame, gold: dict[str, DataFrame], index: DocumentIndex, as_of: dt.date
 ) -> DataFrame:

@@ -562,7 +562,7 @@ SELECTS = {
     "recommendation_prompt": "SELECT question, recommendation_prompt FROM state",
     "pipeline_state": "SELECT * FROM state",
     "evidence_join": """SELECT r.position::INTEGER AS position, r.property_id, r.property_name, t.ticket_id,
-        t.complaint_description FROM conversation_tickets t JOIN r_high_churn r USING (property_id)""",
+        t.complaint_description, t.resolution_notes FROM silver t JOIN r_high_churn r USING (property_id)""",
     "properties_without_complaints": """SELECT property_id, property_name, churn_risk_label FROM churn
         WHERE property_id NOT IN (SELECT property_id FROM conversation_tickets)""",
     "properties_with_complaints": """SELECT property_id, property_name, churn_risk_label FROM churn

@@ -302,7 +302,7 @@ def _index(spark, sf) -> assistant.DocumentIndex:
 
 def embed_documents(spark, sf):
     """Non-zero weights of every document, which is all of each vector."""
-    weights = _index(spark, sf).documents.select(
+    weights = _index(spark, sf).vectors.select(
         "ticket_id", F.posexplode("embedding").alias("dimension", "weight")
     )
     return weights.where(F.col("weight") != 0).withColumn("weight", F.round(F.col("weight").cast("double"), 6))
@@ -347,20 +347,24 @@ def rag_context(spark, sf):
     return evidence.contexts(_hits(spark, sf))
 
 
-def _pipeline(*columns: str) -> Query:
-    def query(spark, sf):
-        state = assistant.pipeline_state(
-            adapters.questions(spark, sf), _gold(spark, sf), _index(spark, sf), AS_OF
-        )
-        return state.select("question", *columns) if columns else state
+def rag_prompt(spark, sf):
+    return assistant.rag_prompts(adapters.questions(spark, sf), _index(spark, sf))
 
-    return query
+
+def pipeline_state(spark, sf):
+    gold_set = _gold(spark, sf)
+    index = assistant.build_index(adapters.conversation_tickets(spark, sf), gold_set["gold_churn_risk"])
+    return assistant.pipeline_state(adapters.questions(spark, sf), gold_set, index, AS_OF)
+
+
+def recommendation_prompt(spark, sf):
+    return pipeline_state(spark, sf).select("question", "recommendation_prompt")
 
 
 def evidence_join(spark, sf):
     ranked = reports.high_churn(_churn(spark, sf))
-    return evidence.ranked_evidence(ranked, adapters.conversation_tickets(spark, sf)).select(
-        "position", "property_id", "property_name", "ticket_id", "complaint_description"
+    return evidence.ranked_evidence(ranked, _silver(spark, sf)).select(
+        "position", "property_id", "property_name", "ticket_id", "complaint_description", "resolution_notes"
     )
 
 
@@ -471,9 +475,9 @@ QUERIES: dict[str, Query] = {
     "knn_text": knn_text,
     "knn_preview": knn_preview,
     "rag_context": rag_context,
-    "rag_prompt": _pipeline("rag_prompt"),
-    "recommendation_prompt": _pipeline("recommendation_prompt"),
-    "pipeline_state": _pipeline(),
+    "rag_prompt": rag_prompt,
+    "recommendation_prompt": recommendation_prompt,
+    "pipeline_state": pipeline_state,
     "evidence_join": evidence_join,
     "properties_without_complaints": properties_without_complaints,
     "properties_with_complaints": properties_with_complaints,

@@ -62,8 +62,9 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tickets_from_events(events: DataFrame) -> DataFrame:
     """One raw ticket per event."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    event_id, user_id = F.col("event_id"), F.col("user_id")
+    # In a step of its own, so that the text is parsed once per row.
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, event_id, user_id = F.col("k"), F.col("event_id"), F.col("user_id")
     score = F.least(
         F.lit(5).cast("bigint"),
         F.greatest(F.lit(1).cast("bigint"), 1 + (event_id * 31 + k) % 5 + user_id % 5 - 2),

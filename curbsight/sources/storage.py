@@ -17,14 +17,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="curbsight-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="curbsight-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def new_location(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +46,9 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def mapping_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
+    """A mapping as a two-column table of known, small size."""
+    entries = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+    return spark.range(1).select(F.explode(entries).alias(key, value))

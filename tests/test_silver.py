@@ -1,0 +1,91 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from curbsight import fixed_values as fv
+from curbsight.operators import silver
+from curbsight.sources import adapters
+from tests.helpers import plan, rows, values
+
+AS_OF = dt.date(2024, 2, 1)
+
+
+@pytest.mark.parametrize(
+    "csat, missed, label",
+    [
+        (None, 9, "high"), (None, 5, "medium"), (None, 1, "low"),
+        (2, 0, "high"), (3, 0, "medium"), (4, 0, "low"),
+        (5, 8, "high"), (5, 4, "medium"), (5, 3, "low"),
+    ],
+)
+def test_ticket_label(spark, csat, missed, label):
+    df = spark.createDataFrame([(csat, missed)], "csat int, missed int")
+    assert rows(df.select(silver.ticket_risk_label(F.col("csat"), F.col("missed")))) == [(label,)]
+
+
+def test_category_of_known_unknown_and_missing_codes(spark):
+    codes = [*fv.SERVICE_CATEGORY_BY_ISSUE, "unlisted", None]
+    df = spark.createDataFrame([(c,) for c in codes], "issue_type string")
+    found = values(df.select(silver.service_category(F.col("issue_type")).alias("c")), "c")
+    assert found == [*fv.SERVICE_CATEGORY_BY_ISSUE.values(), "Doorstep Collection", "Doorstep Collection"]
+
+
+def test_lookup_join_equals_expression(spark, sf_dir):
+    tickets = adapters.tickets(spark, sf_dir)
+    joined = silver.with_category_from_table(tickets, silver.category_table(spark))
+    direct = tickets.withColumn("service_category", silver.service_category(F.col("issue_type")))
+    columns = ["ticket_id", "service_category"]
+    assert sorted(rows(joined.select(columns))) == sorted(rows(direct.select(columns)))
+    assert "BroadcastHashJoin" in plan(joined)
+
+
+def test_names_cycle_and_repeat(spark):
+    df = spark.createDataFrame([("CUST_00000",), ("CUST_00023",), ("CUST_00024",)], "id string")
+    found = values(df.select(silver.property_name(F.col("id")).alias("n")), "n")
+    assert found == [fv.PROPERTY_NAMES[0], fv.PROPERTY_NAMES[23], fv.PROPERTY_NAMES[0]]
+
+
+@pytest.mark.parametrize("bad", ["BAD_1", None])
+def test_malformed_id_fails_or_is_set_aside(spark, bad):
+    df = spark.createDataFrame([(bad,), ("CUST_00001",)], "customer_id string")
+    with pytest.raises(Exception, match="malformed property id"):
+        df.select(silver.property_name(F.col("customer_id"))).collect()
+    lenient = df.select(silver.property_name(F.col("customer_id"), strict=False).alias("n"))
+    assert values(lenient, "n") == [None, fv.PROPERTY_NAMES[1]]
+    assert rows(silver.malformed_ids(df)) == [(bad,)]
+
+
+def test_ranges_of_derived_numbers(spark):
+    ids = spark.range(5000).select(F.concat(F.lit("CUST_"), "id").alias("p"))
+    p = F.col("p")
+    low_high = ids.agg(
+        F.min(silver.contract_value(p)), F.max(silver.contract_value(p)),
+        F.min(silver.missed_pickups(p)), F.max(silver.missed_pickups(p)),
+        F.min(silver.renewal_date(p, AS_OF)), F.max(silver.renewal_date(p, AS_OF)),
+    ).first()
+    assert 10000 <= low_high[0] < low_high[1] <= 49999
+    assert (low_high[2], low_high[3]) == (0, 10)
+    assert AS_OF <= low_high[4] < low_high[5] <= AS_OF + dt.timedelta(days=364)
+
+
+def test_other_columns_survive(spark, sf_dir):
+    tickets = adapters.tickets(spark, sf_dir).withColumn("channel", F.lit("mail"))
+    assert {"channel", "ticket_id", "issue_type"} <= set(silver.to_silver(tickets, AS_OF).columns)
+
+
+def test_silver_is_one_native_stage(spark, sf_dir):
+    text = plan(silver.to_silver(adapters.tickets(spark, sf_dir), AS_OF))
+    assert "Python" not in text and "Exchange" not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf_dir):
+    df = silver.to_silver(adapters.tickets(spark, sf_dir), AS_OF)
+    text = plan(df.where("ticket_id > 10 and resolution_time_hours < 5").select("property_id"))
+    assert "GreaterThan(event_id,10)" in text and "LessThan(value,5.0)" in text
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in text
+
+
+def test_label_counts(spark, sf_dir):
+    df = silver.to_silver(adapters.tickets(spark, sf_dir), AS_OF)
+    assert dict(rows(df.groupBy("churn_risk_label").count())) == {"high": 597, "medium": 268, "low": 135}
