@@ -76,7 +76,7 @@ def rag_prompts(questions: DataFrame, index: DocumentIndex) -> DataFrame:
     return asked.join(found, "query_id", "left").select("question", prompt.alias("rag_prompt"))
 
 
-def pipeline_state(
+def question_state(
     questions: DataFrame, gold: dict[str, DataFrame], index: DocumentIndex, as_of: dt.date
 ) -> DataFrame:
     """Question, findings, retrieval prompt and report prompt, one row per distinct question."""

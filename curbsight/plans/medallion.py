@@ -4,18 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from curbsight.operators import gold, silver
-from curbsight.sources import storage
+from curbsight.operators import audit, gold, silver
+from curbsight.sources import csv_files, jdbc, storage, tables
 
+BRONZE_TABLE = "bronze_tickets"
+SILVER_TABLE = "silver_tickets"
 GOLD_TABLES = ["gold_churn_risk", "gold_service_performance", "gold_property_health"]
 
 
-def silver_table(tickets: DataFrame, as_of: dt.date) -> DataFrame:
-    return storage.materialize(silver.to_silver(tickets, as_of), "silver")
-
-
 def gold_tables(silver_df: DataFrame) -> dict[str, DataFrame]:
     """All gold tables from one pass over silver.
 
@@ -30,3 +28,36 @@ def gold_tables(silver_df: DataFrame) -> dict[str, DataFrame]:
         "gold_service_performance": gold.service_from_base(base),
         "gold_property_health": gold.health_from_base(base),
     }
+
+
+def run_nightly(
+    spark: SparkSession,
+    ticket_path: str,
+    as_of: dt.date,
+    export_path: str,
+    table_folder: str | None = None,
+    target: jdbc.JdbcTarget | None = None,
+) -> dict[str, DataFrame]:
+    """Ticket files to tables, retrieval export and, with a target, published gold tables.
+
+    Each step starts from the stored result of the one before. Gives back the
+    load's figures: ``null_profile`` of bronze, ``row_counts`` of all tables
+    and ``duplicates`` among the gold properties, which should be empty.
+    """
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        path = None if table_folder is None else f"{table_folder.rstrip('/')}/{name}"
+        tables.write_table(df, name, path)
+        return tables.read_table(spark, name)
+
+    bronze = store(csv_files.read_tickets(spark, ticket_path), BRONZE_TABLE)
+    silver_df = store(silver.to_silver(bronze, as_of), SILVER_TABLE)
+    csv_files.export_rag(silver_df, export_path)
+    stored = {name: store(df, name) for name, df in gold_tables(silver_df).items()}
+    if target is not None:
+        jdbc.publish(stored, target)
+    return {
+        "null_profile": audit.null_profile(bronze),
+        "row_counts": tables.row_counts({BRONZE_TABLE: bronze, SILVER_TABLE: silver_df, **stored}),
+        "duplicates": audit.duplicate_keys(stored["gold_churn_risk"]),
+    }

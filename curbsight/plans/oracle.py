@@ -550,6 +550,9 @@ SELECTS = {
     ),
     "embed_documents": """SELECT id::BIGINT AS ticket_id, dimension::INTEGER AS dimension, round(weight, 6) AS weight
         FROM weights WHERE side = 'd'""",
+    "embed_with_model": """SELECT ticket_id, d::INTEGER AS dimension,
+        (length(page_content) - length(replace(page_content, chr(97 + d::INTEGER), '')))::DOUBLE AS weight
+        FROM documents_text, range(26) letters(d)""",
     "knn_top5": _knn("overall_centroid"),
     "knn_batch": _knn("label_centroids"),
     "knn_blocks": _knn("label_centroids"),
@@ -560,7 +563,7 @@ SELECTS = {
     "rag_context": "SELECT query_id, context FROM contexts",
     "rag_prompt": "SELECT question, rag_prompt FROM state",
     "recommendation_prompt": "SELECT question, recommendation_prompt FROM state",
-    "pipeline_state": "SELECT * FROM state",
+    "question_state": "SELECT * FROM state",
     "evidence_join": """SELECT r.position::INTEGER AS position, r.property_id, r.property_name, t.ticket_id,
         t.complaint_description, t.resolution_notes FROM silver t JOIN r_high_churn r USING (property_id)""",
     "properties_without_complaints": """SELECT property_id, property_name, churn_risk_label FROM churn

@@ -21,6 +21,7 @@ from curbsight.operators import (
     routing,
     silver,
 )
+from curbsight.operators.encoder import encode_with_model
 from curbsight.plans import assistant, medallion
 from curbsight.sources import adapters, csv_files, storage, tables, vectors
 from curbsight.sources.adapters import AS_OF
@@ -308,6 +309,19 @@ def embed_documents(spark, sf):
     return weights.where(F.col("weight") != 0).withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
 
+def embed_with_model(spark, sf):
+    """The model plug, with letter counts in place of a sentence model."""
+
+    def load_model():
+        letters = [chr(code) for code in range(ord("a"), ord("z") + 1)]
+        return lambda texts: [[text.count(letter) for letter in letters] for text in texts]
+
+    encoded = encode_with_model(documents.render(_labelled_conversations(spark, sf)), load_model)
+    return encoded.select("ticket_id", F.posexplode("embedding").alias("dimension", "weight")).withColumn(
+        "weight", F.col("weight").cast("double")
+    )
+
+
 def _distances(hits: DataFrame) -> DataFrame:
     return _rounded(hits, "d2")
 
@@ -351,14 +365,14 @@ def rag_prompt(spark, sf):
     return assistant.rag_prompts(adapters.questions(spark, sf), _index(spark, sf))
 
 
-def pipeline_state(spark, sf):
+def question_state(spark, sf):
     gold_set = _gold(spark, sf)
     index = assistant.build_index(adapters.conversation_tickets(spark, sf), gold_set["gold_churn_risk"])
-    return assistant.pipeline_state(adapters.questions(spark, sf), gold_set, index, AS_OF)
+    return assistant.question_state(adapters.questions(spark, sf), gold_set, index, AS_OF)
 
 
 def recommendation_prompt(spark, sf):
-    return pipeline_state(spark, sf).select("question", "recommendation_prompt")
+    return question_state(spark, sf).select("question", "recommendation_prompt")
 
 
 def evidence_join(spark, sf):
@@ -469,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "rag_documents": rag_documents,
     "rag_metadata": rag_metadata,
     "embed_documents": embed_documents,
+    "embed_with_model": embed_with_model,
     "knn_top5": knn_top5,
     "knn_batch": knn_batch,
     "knn_blocks": knn_blocks,
@@ -477,7 +492,7 @@ QUERIES: dict[str, Query] = {
     "rag_context": rag_context,
     "rag_prompt": rag_prompt,
     "recommendation_prompt": recommendation_prompt,
-    "pipeline_state": pipeline_state,
+    "question_state": question_state,
     "evidence_join": evidence_join,
     "properties_without_complaints": properties_without_complaints,
     "properties_with_complaints": properties_with_complaints,

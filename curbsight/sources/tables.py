@@ -51,4 +51,4 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def mapping_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
     """A mapping as a two-column table of known, small size."""
     entries = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return spark.range(1).select(F.explode(entries).alias(key, value))
+    return spark.range(0, 1, 1, 1).select(F.explode(entries).alias(key, value))

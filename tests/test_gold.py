@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbsight.functions import snap_round
-from curbsight.operators import audit, gold, silver
+from curbsight.operators import audit, fallback, gold, silver
 from curbsight.plans import medallion
-from curbsight.sources import adapters
+from curbsight.sources import adapters, csv_files
 from tests.helpers import plan, rows
 
 SILVER = """property_id string, property_name string, property_type string, service_category string,
@@ -89,6 +89,28 @@ def test_one_property_with_a_third_of_all_tickets(spark):
     assert "partial_count" in plan(churn)
 
 
+def test_nightly_run_from_ticket_files(spark, sf_dir, tmp_path):
+    tickets = adapters.tickets(spark, sf_dir)
+    csv_files.write_tickets(tickets, str(tmp_path / "in"))
+    export = str(tmp_path / "export")
+    for _ in range(2):  # a rerun replaces everything
+        figures = medallion.run_nightly(
+            spark, str(tmp_path / "in"), adapters.AS_OF, export, str(tmp_path / "tables")
+        )
+    assert dict(rows(figures["row_counts"])) == {
+        "bronze_tickets": 1000, "silver_tickets": 1000, "gold_churn_risk": 15,
+        "gold_service_performance": 326, "gold_property_health": 326,
+    }
+    assert figures["duplicates"].count() == 0
+    assert figures["null_profile"].first().csat_score == tickets.where("csat_score IS NULL").count()
+    assert csv_files.read_rag(spark, export).count() == 1000
+    same(spark.table("gold_churn_risk"), gold.churn_risk(silver.to_silver(tickets, adapters.AS_OF)))
+
+    ordered = csv_files.read_rag_in_order(spark, export)
+    by_file = fallback.churn_counts(ordered, "ingest_order")
+    same(by_file, fallback.churn_counts(silver.to_silver(tickets, adapters.AS_OF), "ticket_id"))
+
+
 def test_duplicate_keys_are_reported(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",)], "property_id string")
     assert rows(audit.duplicate_keys(df)) == [("A", 2)]

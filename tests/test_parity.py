@@ -14,7 +14,7 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-MAY_BE_EMPTY = {"gold_duplicate_check", "properties_without_complaints"}
+MAY_BE_EMPTY = {"gold_duplicate_check", "name_duplicate_check", "properties_without_complaints"}
 
 
 @pytest.fixture(scope="module")

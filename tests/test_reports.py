@@ -1,8 +1,10 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from curbsight import fixed_values as fv
 from curbsight.operators import answers, dashboard, fallback, reports
 from tests.helpers import plan, rows, values
 
@@ -119,16 +121,14 @@ def test_reports_are_top_k_per_task(spark, sf_dir):
 
 
 def plain_name(pid):
-    prefixes = ["Willow", "Oak", "Maple", "Cedar", "Pine", "Sunset", "Highland", "River", "Summit", "Crestview"]
-    suffixes = "Residences Apartments Suites Estates Manor Heights Commons Court Crossing".split()
-    digits = [c for c in pid if c in "0123456789"]
-    number = int("".join(digits)) if digits else sum(map(ord, pid))
-    return f"{prefixes[number % 10]} {suffixes[number // 10 % 9]}"
+    digits = re.sub("[^0-9]", "", pid)
+    tens, ones = divmod(int(digits or sum(map(ord, pid))), 10)
+    return fv.FALLBACK_NAME_PREFIXES[ones] + " " + fv.FALLBACK_NAME_SUFFIXES[tens % 9]
 
 
 def test_made_up_names(spark):
     ids = [f"CUST_{i:05}" for i in range(0, 3000, 7)] + ["abc", "x9", "7", "A1B2C3", "9" * 40 + "5", "Ünit"]
-    ids = [i for i in ids if i not in fallback.fv.KNOWN_FALLBACK_NAMES]
+    ids = [i for i in ids if i not in fv.KNOWN_FALLBACK_NAMES]
     df = spark.createDataFrame([(i,) for i in ids], "id string")
     found = df.select("id", fallback.property_name(F.col("id")).alias("name"))
     assert rows(found) == [(i, plain_name(i)) for i in ids]
@@ -141,7 +141,7 @@ def test_known_names_win(spark):
 
 def test_made_up_types(spark):
     names = ["Oak Manor", "Pine Court", "River Heights", "Willow Suites"]
-    types = ["Garden Style", "Mid-Rise", "High-Rise", "Townhome Community"]
+    types = fv.FALLBACK_PROPERTY_TYPES
     df = spark.createDataFrame([(n,) for n in names], "name string")
     found = values(df.select(fallback.property_type(F.col("name")).alias("t")), "t")
     assert found == [types[sum(map(ord, n)) % 4] for n in names]
@@ -162,7 +162,7 @@ def test_missing_categories(spark):
 
 
 def test_pickup_shares_are_cut_and_may_exceed_the_total(spark):
-    names = ["Doorstep Collection", "VALET", "Resident Amenities", "Pet Services"]
+    names = ["Doorstep Collection", "Late pickups", "Resident Amenities", "Pet Services"]
     categories = spark.createDataFrame([(n,) for n in names], "service_category string")
     found = fallback.category_pickups(categories, churn(spark, prop("A", missed=9), prop("B", missed=8)))
     assert dict(rows(found)) == {names[0]: 11, names[1]: 11, names[2]: 3, names[3]: 1}
