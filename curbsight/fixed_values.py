@@ -93,6 +93,12 @@ DOCUMENT_PARTS = [
     ("\n\nResolution:\n", "resolution_notes"),
 ]
 
+# Everything that counts as blank at the ends of a document or question.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 CONTEXT_SEPARATOR = "\n\n---\n\n"
 PREVIEW_CHARS = 300
 RETRIEVAL_K = 5

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curbsight import fixed_values as fv
+
 
 def pick(values: Sequence[str], index: Column) -> Column:
     """``values[index]`` for a zero-based index column; a null index gives null.
@@ -24,8 +26,8 @@ def code_point_sum(text: Column) -> Column:
 
 
 def strip_whitespace(text: Column) -> Column:
-    """Drop blanks, tabs and line ends on both sides (``trim`` drops blanks only)."""
-    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+    """Drop white space of every kind on both sides (``trim`` drops blanks only)."""
+    return F.btrim(text, F.lit(fv.WHITESPACE))
 
 
 def dollars(amount: Column) -> Column:

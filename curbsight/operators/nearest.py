@@ -33,6 +33,7 @@ MAX_SHIPPED_QUERIES = 2048
 MAX_SHIPPED_VALUES = 4_000_000
 CHUNK_ROWS = 50_000
 SCORE_CELLS = 2_000_000
+MANY_TIES = 8
 MERGE_SALTS = 32
 
 
@@ -96,8 +97,10 @@ def _block_candidates(
     query_id, vec_id, _ = schema.names
     blocks = ceil(queries.count() / block_rows)
     chunks = max(1, ceil(corpus.count() / chunk_rows))
+    # New names, as queries taken from the corpus itself would share its columns.
     left = queries.select(
-        "*",
+        F.col(query_id).alias("asked_id"),
+        F.col(queries.columns[1]).alias("asked_vector"),
         F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
@@ -162,6 +165,9 @@ class _Best:
         if len(ids) >= self.k:
             bound = np.minimum(bound, np.partition(screened, self.k - 1, axis=0)[self.k - 1])
         row, query = np.nonzero(screened <= bound + 2 * slack)
+        if len(row) > MANY_TIES * self.k * len(self.queries):
+            first = self._first_copies(ids, vectors)[row]
+            row, query = row[first], query[first]
 
         found = [self._distance(vectors, row[part], query[part]) for part in self._parts(len(row))]
         query = np.concatenate([self.query, query])
@@ -175,6 +181,19 @@ class _Best:
         full = position == self.k - 1
         self.bound[query[full]] = d2[full]
 
+    def _first_copies(self, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Rows among the ``k`` lowest ids of their vector. Copies tie for every query, so no
+        other copy can be among the best."""
+        by_id = np.argsort(ids, kind="stable")
+        whole = np.ascontiguousarray(vectors[by_id]).view(np.dtype((np.void, vectors.itemsize * vectors.shape[1])))
+        _, group = np.unique(whole.ravel(), return_inverse=True)
+        by_group = np.argsort(group, kind="stable")
+        sorted_group = group[by_group]
+        copy = np.arange(len(group)) - np.searchsorted(sorted_group, sorted_group)
+        first = np.empty(len(ids), dtype=bool)
+        first[by_id[by_group]] = copy < self.k
+        return first
+
     def _parts(self, pairs: int) -> list[slice]:
         step = max(1, SCORE_CELLS // self.queries.shape[1])
         return [slice(start, start + step) for start in range(0, pairs, step)]

@@ -25,6 +25,9 @@ def _text(value: str | None) -> str:
     return "(" + " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in pieces) + ")"
 
 
+_BLANKS = "(" + " || ".join(f"chr({ord(c)})" for c in fv.WHITESPACE) + ")"
+
+
 def _list(values) -> str:
     return "[" + ", ".join(_text(v) for v in values) + "]"
 
@@ -295,13 +298,13 @@ RELATIONS = {
     "documents_text": f"""
         SELECT ticket_id, property_id, {_filled('service_category')} AS service_category,
           {_filled('churn_risk_label')} AS churn_risk,
-          trim({_PAGE}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) AS page_content
+          trim({_PAGE}, {_BLANKS}) AS page_content
         FROM labelled
     """,
     "asked": f"""
         SELECT question, count(*) AS times_asked, sha256(question) AS query_id FROM (
           SELECT trim({_pick(adapters.QUESTIONS, f'event_id % {len(adapters.QUESTIONS)}')},
-            ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) AS question FROM events)
+            {_BLANKS}) AS question FROM events)
         WHERE question <> '' GROUP BY question
     """,
     "tokens": r"""

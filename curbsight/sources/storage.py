@@ -29,7 +29,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_location(spark: SparkSession, name: str) -> str:
     """A path nobody has written to yet."""
-    return f"{shared_folder(spark)}/curbsight/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has written here, once no frame reads it any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/curbsight/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

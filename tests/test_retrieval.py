@@ -40,7 +40,7 @@ def test_equals_brute_force_with_many_copies(spark, max_shipped, k):
     rng = np.random.default_rng(7)
     corpus = rng.normal(size=(300, 8))
     corpus[100:200] = corpus[100]  # a third of all rows are one and the same vector
-    queries = np.vstack([rng.normal(size=(6, 8)), corpus[100:101]])
+    queries = np.vstack([rng.normal(size=(2, 8)), corpus[100:105]])
     ids = list(range(1000, 1300))
     df = frame(spark, ids, corpus, "vec_id").repartition(5)
     asked = frame(spark, range(7), queries, "query_id")
@@ -48,6 +48,16 @@ def test_equals_brute_force_with_many_copies(spark, max_shipped, k):
     assert found_ids(found) == brute_force(ids, corpus, range(7), queries, k)
 
 
+@pytest.mark.parametrize("max_shipped", [2048, 7])
+def test_queries_taken_from_the_corpus(spark, folder, max_shipped):
+    vectors = np.random.default_rng(5).normal(size=(60, 4))
+    frame(spark, range(60), vectors, "vec_id").write.parquet(folder + "/v")
+    corpus = spark.read.parquet(folder + "/v")
+    asked = corpus.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = nearest.nearest(corpus, asked, 3, max_shipped=max_shipped, chunk_rows=16)
+    assert found_ids(found) == brute_force(range(60), vectors, range(20), vectors[:20], 3)
+
+
 def test_far_from_the_origin(spark):
     rng = np.random.default_rng(1)
     corpus = np.float32(1000 + rng.normal(size=(200, 4)))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,7 +83,7 @@ class Session:
     def __init__(self, setting=None, master="local[2]"):
         self.conf = {storage.CHECKPOINT_SETTING: setting}
         self.sparkContext = self
-        self.master, self.folder = master, None
+        self.master, self.folder, self.applicationId = master, None, "app-1"
 
     def getCheckpointDir(self):
         return self.folder
@@ -91,7 +93,7 @@ class Session:
 
 
 def test_scratch_goes_to_the_named_folder():
-    assert storage.new_location(Session("hdfs://x/y/"), "name").startswith("hdfs://x/y/curbsight/name-")
+    assert storage.new_location(Session("hdfs://x/y/"), "name").startswith("hdfs://x/y/curbsight/app-1/name-")
     assert storage.new_location(Session("s"), "n") != storage.new_location(Session("s"), "n")
 
 
@@ -102,6 +104,20 @@ def test_scratch_without_a_setting():
         storage.shared_folder(Session(master="yarn"))
 
 
+def test_clear_removes_only_what_this_application_wrote(spark, folder):
+    class Own(Session):
+        def __init__(self, name):
+            super().__init__(folder)
+            self.applicationId = name
+            self._jvm, self._jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    ours, theirs = storage.new_location(Own("ours"), "t"), storage.new_location(Own("theirs"), "t")
+    for path in (ours, theirs):
+        spark.range(2).write.parquet(path)
+    storage.clear(Own("ours"))
+    assert not os.path.exists(ours) and os.path.exists(theirs)
+
+
 def test_written_step_is_read_back(spark):
     df = storage.materialize(spark.range(3), "step")
     assert sorted(values(df, "id")) == [0, 1, 2]
@@ -202,7 +218,7 @@ def test_ids_beyond_five_digits_keep_all_digits(spark):
 
 def test_document_text(spark):
     df = spark.createDataFrame(
-        [("P", "c\n", None, "  done \n", None, "high")],
+        [("P", "c\n", None, "  done \n\u00a0\u2003", None, "high")],
         """property_id string, complaint_description string, service_response string, resolution_notes string,
            service_category string, churn_risk_label string""",
     )
