@@ -38,6 +38,7 @@ def with_property_risk(tickets: DataFrame, churn: DataFrame) -> DataFrame:
     """Each ticket with the label of its property, null where the property is unknown.
 
     Labels are unique per property, so a property with very many tickets only
-    lengthens the ticket side, which the adaptive skew join splits.
+    lengthens the ticket side, which the adaptive skew join splits when the
+    labels are too large to broadcast.
     """
     return tickets.join(churn.select("property_id", "churn_risk_label"), "property_id", "left")

@@ -49,10 +49,15 @@ def churn_counts(export: DataFrame, order: str) -> DataFrame:
     the input happens to be split.
     """
     label = F.lower(F.coalesce("churn_risk_label", F.lit(fv.FALLBACK_LABEL)))
-    per_property = (
+    # Per label first: that step hashes, and leaves a few rows per property for the
+    # choice of a text, for which Spark has to sort.
+    per_label = (
         export.where(F.col("property_id").isNotNull())
-        .groupBy("property_id")
-        .agg(F.count("*").alias("complaint_count"), F.min_by(label, order).alias("churn_risk_label"))
+        .groupBy("property_id", label.alias("label"))
+        .agg(F.count("*").alias("tickets"), F.min(order).alias("first_seen"))
+    )
+    per_property = per_label.groupBy("property_id").agg(
+        F.sum("tickets").alias("complaint_count"), F.min_by("label", "first_seen").alias("churn_risk_label")
     )
     return per_property.withColumn("property_name", property_name(F.col("property_id"))).drop("property_id")
 

@@ -6,12 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curbsight.operators import evidence, nearest, reports
+from curbsight.operators import documents, evidence, nearest, reports
 from curbsight.operators.encoder import TermEncoder, encode_with_model
 from curbsight.operators.gold import churn_risk
 from curbsight.operators.silver import to_silver
 from curbsight.plans import assistant
-from curbsight.sources import adapters
+from curbsight.sources import adapters, storage
 from tests.helpers import plan, rows, values
 
 
@@ -218,6 +218,29 @@ def test_evidence_of_a_hot_property_is_whole(spark, churn):
     assert evidence.ranked_evidence(ranked, tickets).count() == 3000
 
 
+def test_label_join_splits_a_hot_property(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("P"), F.col("id") % 500))
+        tickets = spark.range(0, 60_000, 1, 12).select(hot.alias("property_id"), "id")
+        known = tickets.select("property_id").distinct().withColumn("churn_risk_label", F.lit("low"))
+        known = storage.materialize(known, "labels")
+        joined = documents.with_property_risk(tickets, known)
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_properties_split_by_complaints(spark, churn):
     tickets = spark.createDataFrame([("CUST_00001",)] * 50 + [("CUST_00002",), (None,)], "property_id string")
     kept = evidence.properties_with_complaints(churn, tickets)
