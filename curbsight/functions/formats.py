@@ -11,7 +11,7 @@ from curbsight import fixed_values as fv
 
 
 def pick(values: Sequence[str], index: Column) -> Column:
-    """``values[index]`` for a zero-based index column; a null index gives null.
+    """``values[index]`` for a zero-based index column; null beyond the list and for a null index.
 
     ``get`` and not ``element_at``: the latter takes a null index into an array
     without nulls for a value.
