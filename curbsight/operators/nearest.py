@@ -32,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_SHIPPED_QUERIES = 2048
 MAX_SHIPPED_VALUES = 4_000_000
 CHUNK_ROWS = 50_000
+MAX_CHUNK_VALUES = 25_000_000
 SCORE_CELLS = 2_000_000
 MANY_TIES = 8
 MERGE_SALTS = 32
@@ -65,7 +66,9 @@ def nearest(
     if not shipped:
         candidates = corpus.sparkSession.createDataFrame([], schema)
     else:
-        block_rows = max(1, min(max_shipped, MAX_SHIPPED_VALUES // max(1, len(shipped[0][1]))))
+        dimensions = max(1, len(shipped[0][1]))
+        block_rows = max(1, min(max_shipped, MAX_SHIPPED_VALUES // dimensions))
+        chunk_rows = max(1, min(chunk_rows, MAX_CHUNK_VALUES // dimensions))
         if len(shipped) <= block_rows:
             candidates = _scan_candidates(corpus, shipped, schema, k)
         else:
@@ -220,7 +223,10 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
+    if len(column) == 0:
+        return np.empty((0, 1))
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if len(values) % max(1, len(column)) or not np.isfinite(values).all():
+    if lengths.min() != lengths.max() or not np.isfinite(values).all():
         raise ValueError("vectors must be finite and of one length")
-    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
+    return values.reshape(len(column), -1)

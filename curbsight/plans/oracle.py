@@ -132,8 +132,8 @@ _SHARE_ARMS = " ".join(
     for share, words in fv.PICKUP_SHARES
 )
 _KNOWN_NAMES = " ".join(f"WHEN {_text(k)} THEN {_text(v)}" for k, v in fv.KNOWN_FALLBACK_NAMES.items())
-_FALLBACK_NAME = f"""CASE property_id {_KNOWN_NAMES}
-    ELSE {_pick(fv.FALLBACK_NAME_PREFIXES, 'd % 10')} || ' ' || {_pick(fv.FALLBACK_NAME_SUFFIXES, '(d // 10) % 9')} END"""
+_FALLBACK_NAME = f"""CASE property_id {_KNOWN_NAMES} ELSE {_pick(fv.FALLBACK_NAME_PREFIXES, 'd % 10')}
+    || ' ' || {_pick(fv.FALLBACK_NAME_SUFFIXES, '(d // 10) % 9')} END"""
 _ID_DIGITS = """coalesce(try_cast(nullif(regexp_replace(property_id, '[^0-9]', '', 'g'), '') AS BIGINT),
     list_sum(list_transform(string_split(property_id, ''), lambda c: unicode(c)))::BIGINT)"""
 

@@ -109,7 +109,7 @@ def describe_gold(spark, sf):
 
 
 def sql_text(spark, sf):
-    """A SQL text over a registered view, here the weekly high-risk list by type of ticket."""
+    """A SQL text over a registered view."""
     _silver(spark, sf).createOrReplaceTempView("silver_view")
     return tables.run_query(
         spark,

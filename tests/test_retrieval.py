@@ -89,8 +89,9 @@ def test_no_queries(spark):
     assert nearest.nearest(corpus, frame(spark, [], [], "query_id")).count() == 0
 
 
-def test_broken_vectors_fail(spark):
-    corpus = frame(spark, [1, 2], [[1, 0], [math.nan, 0]], "vec_id")
+@pytest.mark.parametrize("vectors", [[[1, 0], [math.nan, 0]], [[1], [1, 0, 2]]])
+def test_broken_vectors_fail(spark, vectors):
+    corpus = frame(spark, [1, 2], vectors, "vec_id").coalesce(1)
     with pytest.raises(Exception, match="finite"):
         nearest.nearest(corpus, frame(spark, [0], [[0, 0]], "query_id")).collect()
 
