@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import bpe, exact_dedup, packing
+from curbsight.llm import bpe, exact_dedup, line_dedup, packing, quality
 from curbsight.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,16 @@ def packed_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"), vocabulary(WORD_VOCABULARY))
 
 
+def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents; a fifth of the labels, by id, stays unseen."""
+    labels = read(spark, sf, "labels").where(~quality.held_out())
+    return quality.scored(read(spark, sf, "documents"), labels).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.clean(read(spark, sf, "documents")).select("doc_id", "text", "removed_lines")
+
+
 def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     model = vocabulary(BYTE_VOCABULARY)
     return bpe.decode(bpe.encode(read(spark, sf, "documents"), model), model).select(
@@ -41,5 +51,7 @@ def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op6_exact_dedup": exact_copies,
     "op7_best_fit_packing": packed_sequences,
+    "op8_quality_classifier": quality_scores,
+    "op9_line_dedup": repeated_lines,
     "op10_bpe_round_trip": bpe_round_trip,
 }
