@@ -153,9 +153,7 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        pieces = [self._pieces(t) for t in texts]
-        self._memo.learn(pieces)
-        return [b"".join(map(self._memo.__getitem__, own)) for own in pieces]
+        return self._memo.joined([self._pieces(t) for t in texts])
 
     def decode(self, ids: bytes) -> str:
         """Special tokens stay; bytes that are no UTF-8 become U+FFFD."""

@@ -52,23 +52,28 @@ def to_batch(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
 
-class Memo(dict):
-    """What ``compute`` gives for a batch of keys, remembered up to a bounded number of them.
+class Memo:
+    """What ``compute`` gives for keys, remembered in ``known`` up to a bounded number of them.
 
     Kept per worker process, so tasks that run there later find it filled.
     Only speed depends on it: when it is full it starts anew.
     """
 
     def __init__(self, compute: Callable[[list[str]], Iterable], limit: int):
-        super().__init__()
+        self.known: dict = {}
         self._compute, self._limit = compute, limit
 
     def learn(self, lists: list[list[str]]) -> None:
-        """Have all keys of these lists present."""
-        if len(self) > self._limit:
-            self.clear()
-        if new := list(set().union(*lists).difference(self)):
-            self.update(zip(new, self._compute(new)))
+        """Have all keys of these lists in ``known``."""
+        if len(self.known) > self._limit:
+            self.known.clear()
+        if new := list(set().union(*lists).difference(self.known)):
+            self.known.update(zip(new, self._compute(new)))
+
+    def joined(self, lists: list[list[str]]) -> list[bytes]:
+        """Per list, what is known of its keys, one after the other."""
+        self.learn(lists)
+        return [b"".join(map(self.known.__getitem__, own)) for own in lists]
 
 
 def blocks(rows: Iterable[tuple], chars: int) -> Iterator[list[tuple[int, str]]]:

@@ -75,20 +75,19 @@ class WordTokenizer:
         self._letters = {b: ord(c) for b, c in byte_letters().items()}
         self._as_bytes = [n.to_bytes(4, "little") for n in range(self._tokenizer.get_vocab_size())]
         self._words = regex.compile(WORDS)
-        self._runs, self._known = Memo(self._encode_runs, RUNS_KEPT), Memo(self._encode_words, RUNS_KEPT)
+        self._of_run, self._of_word = Memo(self._encode_runs, RUNS_KEPT), Memo(self._encode_words, RUNS_KEPT)
         # str.split() also parts at these four, which Unicode doesn't count as white space
         self._separators = re.compile("[\x1c-\x1f]")
         self._white = re.compile(f"[{SPACE}]+")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         runs = [t.split() if not self._separators.search(t) else [r for r in self._white.split(t) if r] for t in texts]
-        self._runs.learn(runs)
-        return [b"".join(map(self._runs.__getitem__, own)) for own in runs]
+        return self._of_run.joined(runs)
 
     def _encode_runs(self, runs: list[str]) -> list[bytes]:
         words = [self._words.findall(r.lower()) if self._is_plain(r) else None for r in runs]
-        self._known.learn([w for w in words if w is not None])
-        known = self._known.__getitem__
+        self._of_word.learn([w for w in words if w is not None])
+        known = self._of_word.known.__getitem__
         other = iter(self._by_library([r for r, w in zip(runs, words) if w is None]))
         return [next(other) if own is None else known(own[0]) if len(own) == 1 else b"".join(map(known, own)) for own in words]
 

@@ -15,6 +15,7 @@ from collections import Counter
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,6 +183,22 @@ def scored(df: DataFrame, labels: DataFrame) -> DataFrame:
     return result.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def accepted(df: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` that score at least ``threshold``, with all their columns.
+
+    Texts are measured again for the decision rather than joined to their
+    scores, so none is shuffled. Every row is judged by its own text, whatever
+    its id; a null text is judged like an empty one.
+    """
+    model = fit(vectors(df), labels)
+
+    @F.pandas_udf("double")
+    def score_of(text: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array([statistics(t) for t in text]).reshape(-1, len(STATISTICS))))
+
+    return df.where(score_of(F.coalesce("text", F.lit(""))) >= threshold)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a label is kept from learning: a fifth of the ids, by checksum."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import bpe, exact_dedup, line_dedup, packing, quality
+from curbsight.llm import bpe, exact_dedup, line_dedup, near_dedup, packing, quality
 from curbsight.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def vocabulary(name: str) -> str:
         return file.read()
 
 
+def near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.classes(read(spark, sf, "documents"))
+
+
 def exact_copies(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.deduplicate(read(spark, sf, "documents"))
 
@@ -49,6 +53,7 @@ def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_order_minhash": near_copies,
     "op6_exact_dedup": exact_copies,
     "op7_best_fit_packing": packed_sequences,
     "op8_quality_classifier": quality_scores,
