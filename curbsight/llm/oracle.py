@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from curbsight.llm.licences import NOT_WORD, RULES, SENTENCE_END, rule_rows
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 EXACT_COPIES = """
 WITH folded AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -13,6 +20,85 @@ FROM folded
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+CHAT_TEXTS = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), steps AS (
+  SELECT conv_id, turn, md5(string_agg(role || chr(1) || text, chr(2) ORDER BY role, text)) AS step FROM turns GROUP BY conv_id, turn
+), rolled AS (
+  SELECT conv_id, turn, turn = max(turn) OVER (PARTITION BY conv_id) AS last,
+         md5(string_agg(turn || ':' || step, '|') OVER (PARTITION BY conv_id ORDER BY turn)) AS prefix
+  FROM steps
+), kept AS (
+  SELECT min(conv_id) AS conv_id, count(*) AS copies FROM rolled
+  WHERE last AND prefix NOT IN (SELECT prefix FROM rolled WHERE NOT last)
+  GROUP BY prefix
+)
+SELECT conv_id, turn // 64 AS part, count(*) AS n_turns,
+       string_agg('<|im_start|>' || CASE role WHEN '' THEN 'unknown' ELSE lower(trim(role)) END || chr(10) || text || '<|im_end|>' || chr(10), ''
+                  ORDER BY turn, role, text) AS text, any_value(copies) AS copies
+FROM turns JOIN kept USING (conv_id)
+GROUP BY conv_id, turn // 64
+"""
+
+NEAREST_VECTORS = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 20
+"""
+
+DAMAGED_RECORDS = """
+WITH records AS (
+  SELECT page_id, (page_id // 4096)::VARCHAR AS archive,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+         || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages
+), placed AS (
+  SELECT archive, record, octet_length(encode(record)) AS length,
+         coalesce(sum(octet_length(encode(record))) OVER (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM records
+), replicas AS (
+  SELECT archive, place::BIGINT AS "offset", length::BIGINT AS length, sha256(record) AS hash, substr(sha256(record), 1, 2) AS chosen, record FROM placed
+)
+SELECT archive, "offset", CASE WHEN chosen < '04' THEN 'left only' ELSE 'changed' END AS status, length AS left_length,
+       CASE WHEN chosen >= 'fc' THEN length + 1 END AS right_length, hash AS left_hash,
+       CASE WHEN chosen >= 'fc' THEN sha256(record || '?') END AS right_hash
+FROM replicas WHERE chosen < '04' OR chosen >= 'fc'
+"""
+
+LICENCES_FOUND = f"""
+WITH rules(licence, place, size, raw) AS (VALUES {", ".join("(%s, %d, %d, %s)" % (quoted(n), p, z, quoted(s)) for n, p, z, s in rule_rows(RULES))}),
+known AS (SELECT licence, place, size, trim(regexp_replace(lower(raw), '{NOT_WORD}', ' ', 'g')) AS sentence FROM rules),
+split AS (
+  SELECT doc_id, list_filter(list_transform(string_split_regex(coalesce(text, ''), '{SENTENCE_END}'),
+         lambda s: trim(regexp_replace(lower(s), '{NOT_WORD}', ' ', 'g'))), lambda s: s <> '') AS found
+  FROM documents
+), sentences AS (
+  SELECT doc_id, unnest(found) AS sentence, generate_subscripts(found, 1) - 1 AS n FROM split
+), starts AS (
+  SELECT doc_id, licence, n - place AS first, size, count(*) // size AS times
+  FROM sentences JOIN known USING (sentence)
+  GROUP BY doc_id, licence, n - place, size HAVING count(DISTINCT place) = size
+), matches AS (SELECT doc_id, licence, first, first + size - 1 AS last, times FROM starts)
+SELECT doc_id, licence, first::INTEGER AS first, last::INTEGER AS last, times FROM matches m
+WHERE NOT EXISTS (
+  SELECT 1 FROM matches o
+  WHERE o.doc_id = m.doc_id AND o.first <= m.first AND o.last >= m.last AND o.last - o.first > m.last - m.first
+)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_chat_formatting": CHAT_TEXTS,
+    "op2_exact_top_k": NEAREST_VECTORS,
+    "op3_warc_fixity": DAMAGED_RECORDS,
+    "op4_licence_scan": LICENCES_FOUND,
     "op6_exact_dedup": EXACT_COPIES,
 }

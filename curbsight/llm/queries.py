@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import bpe, exact_dedup, line_dedup, near_dedup, packing, quality
+from curbsight.llm import bpe, chat, exact_dedup, fixity, licences, line_dedup, near_dedup, packing, quality, top_k
 from curbsight.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,29 @@ def vocabulary(name: str) -> str:
         return file.read()
 
 
+def chat_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.render(read(spark, sf, "conversations"))
+
+
+def nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 best partners of every vector whose id is divisible by 20."""
+    vectors = top_k.quantised(read(spark, sf, "embeddings"))
+    return top_k.search(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
+def damaged_records(spark: SparkSession, sf: str) -> DataFrame:
+    """An archive of all pages against a replica in which some records, chosen by their content, are damaged or gone."""
+    records = fixity.warc_records(read(spark, sf, "pages"))
+    chosen = F.substring(F.sha2("record", 256), 1, 2)
+    damaged = F.concat(F.col("record"), F.lit(b"?"))
+    replica = records.where(chosen >= "04").withColumn("record", F.when(chosen >= "fc", damaged).otherwise(F.col("record")))
+    return fixity.audit(records, replica)
+
+
+def licences_found(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.recognise(read(spark, sf, "documents"))
+
+
 def near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.classes(read(spark, sf, "documents"))
 
@@ -53,6 +76,10 @@ def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_formatting": chat_texts,
+    "op2_exact_top_k": nearest_vectors,
+    "op3_warc_fixity": damaged_records,
+    "op4_licence_scan": licences_found,
     "op5_order_minhash": near_copies,
     "op6_exact_dedup": exact_copies,
     "op7_best_fit_packing": packed_sequences,
