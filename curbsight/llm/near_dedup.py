@@ -2,17 +2,19 @@
 
 Words are runs of letters and digits in lower case, k-mers are shingles of
 five words, each labelled with how often it has occurred before in its text.
-For each of BANDS hash functions a sketch takes the TUPLE labelled shingles of
-least hash and puts them back in text order; the hash of that ordered tuple is
-the band's key. Two texts agree in a band only if they share these shingles in
+For each hash function, one per band, a sketch takes the labelled shingles of
+least hash, as many as TUPLES says, and puts them back in text order; the hash
+of that ordered tuple is the band's key. The short tuples serve texts of few
+shingles, where a single edit changes most long ones. Two texts agree in a band only if they share these shingles in
 the same order, so keys follow edit similarity, not just overlap.
 
 Texts with equal words collapse first. Per key the text of least id leads, and
 all others are compared with it: a star of pairs, never all pairs. Verified
-pairs form classes. Where a key's texts are left in more than one class, they
-are split by the key together with the next band's, and led and compared anew,
-REFINEMENTS times: texts that only share a passage with their leader then meet
-those they resemble.
+pairs form classes. Where a key's texts are left in more than one class,
+another of them leads, drawn by hash, and those of other classes than its own
+are compared with it. That is done ROUNDS times; from the second on the key is
+joined with those of the next bands, so texts that only share a passage part
+ways and meet those they resemble.
 
 A pair is verified by aligning the labelled shingles of both texts within the
 band of shifts that the threshold allows. Its similarity is aligned shingles
@@ -24,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +39,10 @@ from curbsight.sources.storage import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 20
-TUPLE = 4
-REFINEMENTS = 2
-RUNS_KEPT = 600_000
+TUPLES = [4] * 18 + [2] * 6
+BANDS = len(TUPLES)
+ROUNDS = 3
+RUNS_KEPT = 250_000
 BLOCK_CHARS = 2_000_000
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.random.default_rng(20).integers(1, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,17 +90,20 @@ def shingles(words: bytes) -> np.ndarray:
 
 
 def band_keys(labelled: np.ndarray) -> np.ndarray:
-    """One key per band, from the least labelled shingles in text order; fewer shingles than TUPLE all count."""
-    size = min(TUPLE, len(labelled))
-    least = np.empty((BANDS, size), np.int64)
-    for band in range(BANDS):
-        x = labelled * _ODD[band] + _ADD[band]
-        least[band] = np.argpartition(x ^ (x >> _HALF), size - 1)[:size]
-    least.sort(axis=1)
-    keys = _ADD.copy()
-    for h in labelled[least].T:
-        keys = mixed(keys * _STEP + h)
-    return keys.view(np.int64)
+    """One key per band, from the least labelled shingles in text order; a text of too few gives all it has."""
+    keys = []
+    for size, bands in groupby(range(BANDS), TUPLES.__getitem__):
+        bands, size = list(bands), min(size, len(labelled))
+        least = np.empty((len(bands), size), np.int64)
+        for row, band in enumerate(bands):
+            x = labelled * _ODD[band] + _ADD[band]
+            least[row] = np.argpartition(x ^ (x >> _HALF), size - 1)[:size]
+        least.sort(axis=1)
+        key = _ADD[bands]
+        for h in labelled[least].T:
+            key = mixed(key * _STEP + h)
+        keys.append(key)
+    return np.concatenate(keys).view(np.int64)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -207,12 +213,19 @@ def classes_of(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "class_id")
 
 
-def stars(members: DataFrame) -> DataFrame:
-    """Pairs (``a``, leader ``b``) of each key's members (``key``, ``doc_id``); the least id leads."""
-    leaders = members.groupBy("key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n"))
-    leaders = materialize(leaders.where("n > 1").select("key", "b"), "leaders")
-    pairs = members.select("key", F.col("doc_id").alias("a")).join(leaders, "key")
-    return pairs.where("a > b").select("a", "b").distinct()
+def stars(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (``a`` > ``b``) of each key's leader with its members of other classes than the leader's.
+
+    ``members`` holds ``key``, ``doc_id`` and ``class_id``. The least id leads
+    on the first turn, one drawn by hash on any other.
+    """
+    order = F.col("doc_id") if turn == 0 else F.xxhash64(F.lit(turn), "key", "doc_id")
+    leaders = members.groupBy("key").agg(
+        F.min_by("doc_id", order).alias("leader"), F.min_by("class_id", order).alias("leads"), F.min("class_id").alias("low"), F.max("class_id").alias("high")
+    )
+    leaders = materialize(leaders.where("low < high").select("key", "leader", "leads"), "leaders")
+    met = members.join(leaders, "key").where("class_id <> leads")
+    return met.select(F.greatest("doc_id", "leader").alias("a"), F.least("doc_id", "leader").alias("b")).distinct()
 
 
 def classes(df: DataFrame) -> DataFrame:
@@ -236,18 +249,19 @@ def classes(df: DataFrame) -> DataFrame:
         .where(F.size("keys") > 0).dropDuplicates(["doc_id"]).select("doc_id", "keys"),
         "first-sketches",
     )
-    members = firsts.select("doc_id", "keys", F.posexplode("keys").alias("band", "key")).withColumn("key", F.xxhash64("band", "key"))
-    tried = materialize(stars(members), "pairs")
+    alone = firsts.select("doc_id", "keys", F.posexplode("keys").alias("band", "key"))
+    members = alone.select("doc_id", "keys", "band", F.xxhash64("band", "key").alias("key"), F.col("doc_id").alias("class_id"))
+    tried = materialize(stars(members, 0), "pairs")
     links = materialize(verified(tried, known), "verified")
     labels = classes_of(links)
-    for step in range(1, REFINEMENTS + 1):
-        members = _unresolved(members, labels, step)
-        pairs = materialize(stars(members).join(tried, ["a", "b"], "left_anti"), "pairs")
+    for turn in range(1, ROUNDS + 1):
+        members = _unresolved(members, labels, turn)
+        pairs = materialize(stars(members, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
         found = materialize(verified(pairs, known), "verified")
-        tried, links = materialize(tried.union(pairs), "tried"), materialize(links.union(found), "all-verified")
-        if found.isEmpty():
-            continue
-        labels = classes_of(links)
+        if not found.isEmpty():
+            links = materialize(links.union(found), "all-verified")
+            labels = classes_of(links)
+        tried = materialize(tried.union(pairs), "tried")
     named = by_words.join(labels.withColumnRenamed("doc_id", "first"), "first", "left")
     named = materialize(named.select("doc_id", F.coalesce("class_id", "first").alias("class_id")), "classes")
     ids = docs.select("doc_id").join(named, "doc_id", "left")
@@ -256,15 +270,13 @@ def classes(df: DataFrame) -> DataFrame:
     return whole.select("doc_id", "class_id", F.coalesce(F.when(F.col("class_id").isNotNull(), F.col("class_size")), F.lit(1)).alias("class_size"))
 
 
-def _unresolved(members: DataFrame, labels: DataFrame, step: int) -> DataFrame:
-    """Members of keys whose texts are in several classes, under the key refined by a further band."""
-    label = F.coalesce("class_id", "doc_id")
-    placed = members.join(labels, "doc_id", "left").select("doc_id", "keys", "band", "key", label.alias("class_id"))
-    mixed_keys = placed.groupBy("key").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
-    mixed_keys = materialize(mixed_keys.select("key"), "mixed-keys")
-    left = placed.join(mixed_keys, "key", "left_semi")
-    further = F.get("keys", (F.col("band") + step) % BANDS)
-    return materialize(left.select("doc_id", "keys", "band", F.xxhash64("key", further).alias("key")), "refined")
+def _unresolved(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Members of keys whose texts are in several classes; from the second turn on by the key refined by a further band."""
+    placed = members.drop("class_id").join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    several = placed.groupBy("key").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
+    left = placed.join(materialize(several.select("key"), "mixed-keys"), "key", "left_semi")
+    key = F.col("key") if turn == 1 else F.xxhash64("key", F.get("keys", (F.col("band") + (turn - 1)) % BANDS))
+    return materialize(left.select("doc_id", "keys", "band", key.alias("key"), "class_id"), "unresolved")
 
 
 def representatives(df: DataFrame) -> DataFrame:

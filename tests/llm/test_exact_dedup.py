@@ -1,0 +1,62 @@
+import hashlib
+import random
+
+from curbsight.llm.exact_dedup import CuckooIndex, deduplicate
+
+
+def digest(n):
+    return hashlib.sha256(str(n).encode()).digest()
+
+
+def test_index_against_a_dict():
+    index, live, rng = CuckooIndex(4), {}, random.Random(4)
+    for step in range(20_000):
+        key = digest(rng.randrange(3000))
+        if key in live and rng.random() < 0.4:
+            assert index.delete(key) == live.pop(key)
+        elif key not in live:
+            index.insert(key, step)
+            live[key] = step
+        probe = digest(rng.randrange(3000))
+        assert index.get(probe) == live.get(probe)
+    assert dict(index.items()) == live and len(index) == len(live)
+
+
+def test_overflow_grows_from_stored_digests():
+    index = CuckooIndex(1)
+    for n in range(500):
+        index.insert(digest(n), n)
+    assert index.buckets >= 128
+    assert [index.get(digest(n)) for n in range(500)] == list(range(500))
+
+
+def test_equal_tags_are_told_apart_by_the_stored_digest():
+    index = CuckooIndex(64)
+    a, b = b"\1\2" + bytes(30), b"\1\2" + bytes(29) + b"\7"
+    index.insert(a, "a")
+    assert index.get(b) is None
+    index.insert(b, "b")
+    index.delete(a)
+    assert (index.get(a), index.get(b)) == (None, "b")
+
+
+def expected(rows):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sha = [hashlib.sha256((t or "").translate(fold).encode()).hexdigest() for _, t in rows]
+    groups = {}
+    for (i, _), h in zip(rows, sha):
+        groups.setdefault(h, []).append(i)
+    keep = {h: max((i for i in ids if i is not None), default=None) for h, ids in groups.items()}
+    return sorted((str(i), str(keep[h]), len(groups[h]), i == keep[h], h) for (i, _), h in zip(rows, sha))
+
+
+def test_against_brute_force(docs):
+    rng = random.Random(1)
+    texts = ["", None, "A", "a", "É", "é", "Straße", "STRAßE", "x" * 200_000, "X" * 200_000, "ı", "I"]
+    rows = [(i, rng.choice(texts)) for i in range(200)] + [(5, "a"), (5, "a"), (None, "a"), (None, "only null")]
+    found = deduplicate(docs(rows, "keep_id", "digest")).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in found) == expected(rows)
+
+
+def test_empty_table(docs):
+    assert deduplicate(docs([])).collect() == []

@@ -1,0 +1,119 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from curbsight.llm import near_dedup
+from curbsight.llm.near_dedup import classes, representatives, shingles, similarity, word_hashes
+
+
+def labelled(text):
+    words, seen, result = re.findall(r"[^\W_]+", text.lower()), Counter(), []
+    for i in range(len(words) - min(5, len(words)) + 1 if words else 0):
+        gram = tuple(words[i : i + 5])
+        result.append((gram, seen[gram]))
+        seen[gram] += 1
+    return result
+
+
+def aligned(a, b):
+    """Longest common subsequence of labelled shingles, by the full table, as a similarity."""
+    best = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(best[j] + 1 if x == y else max(row[j], best[j + 1]))
+        best = row
+    return best[-1] / (len(a) + len(b) - best[-1]) if a or b else 1.0
+
+
+def expected(rows):
+    """Class per id by comparing all pairs."""
+    parts = {i: labelled(t or "") for i, t in rows if i is not None}
+    texts = {i: t or "" for i, t in rows if i is not None}
+    label = {i: i for i in parts}
+    ids = sorted(parts)
+    for a in ids:
+        for b in ids:
+            alike = aligned(parts[a], parts[b]) >= 0.8 if parts[a] and parts[b] else not parts[a] and not parts[b] and texts[a] == texts[b]
+            if alike and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    return label
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(words) for _ in range(60)]
+    rows = []
+    for base in range(8):
+        text = [rng.choice(words) for _ in range(rng.choice([3, 4, 5, 8, 60, 150]))]
+        if base % 2:
+            text = passage + text
+        for _ in range(5):
+            copy = list(text)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(copy))
+                copy[at : at + 1] = rng.choice([[], [rng.choice(words)], [copy[at], "new"]])
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_all_pairs(docs, seed):
+    rows = corpus(seed)
+    assert {r.doc_id: r.class_id for r in classes(docs(rows)).collect()} == expected(rows)
+
+
+def test_alignment_against_the_full_table():
+    rng = random.Random(3)
+    for _ in range(400):
+        a = [rng.choice("abcdefghij") for _ in range(rng.randint(1, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 2) if len(a) > 2 else 0):
+            at = rng.randrange(len(b))
+            b[at : at + 1] = rng.choice([[], ["x"], [b[at], "y"]])
+        a, b = " ".join(a), " ".join(b)
+        exact = aligned(labelled(a), labelled(b))
+        if not labelled(b):
+            continue
+        found = similarity(*(shingles(w) for w in word_hashes([a, b])))
+        assert found == pytest.approx(exact) if exact >= 0.8 else found < 0.8
+
+
+def test_order_matters():
+    a = " ".join(f"w{i}" for i in range(200))
+    words = a.split()
+    swapped = " ".join(words[100:] + words[:100])
+    x, y = (shingles(w) for w in word_hashes([a, swapped]))
+    assert len(np.intersect1d(x, y)) / len(np.union1d(x, y)) > 0.95 and similarity(x, y) < 0.8
+
+
+def test_keys_do_not_depend_on_other_texts():
+    (w,) = word_hashes(["one two three four five six seven"])
+    assert (near_dedup.band_keys(shingles(w)) == near_dedup.band_keys(shingles(word_hashes(["x y", "One, two three! FOUR five six seven"])[1]))).all()
+
+
+def test_odd_rows(docs):
+    rows = [(1, ""), (2, None), (3, "..."), (4, "Hello"), (5, "hello!"), (6, "a b c d"), (7, "a b c e"), (None, "hello"), (8, "x " * 30_000), (9, "x " * 30_000 + "y"), (4, "Hello")]
+    found = classes(docs(rows, "key", "class_id", "words")).collect()
+    got = sorted(((r.doc_id, r.class_id, r.class_size) for r in found), key=str)
+    wanted = [(1, 1, 2), (2, 1, 2), (3, 3, 1), (4, 4, 3), (4, 4, 3), (5, 4, 3), (6, 6, 1), (7, 7, 1), (None, None, 1), (8, 8, 2), (9, 8, 2)]
+    assert got == sorted(wanted, key=str)
+    frame = docs(rows, "key", "class_id")
+    kept = representatives(frame)
+    assert kept.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "6", "7", "8", "None"]
+
+
+def test_empty_table(docs):
+    assert classes(docs([])).collect() == [] and representatives(docs([])).collect() == []
+
+
+def test_chain_is_one_class(spark):
+    links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 99)], "a long, b long")
+    found = {r.doc_id: r.class_id for r in near_dedup.classes_of(links).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
