@@ -99,6 +99,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Stands in figure texts where there is nothing to average.
+NO_FIGURE = "n/a"
+
 CONTEXT_SEPARATOR = "\n\n---\n\n"
 PREVIEW_CHARS = 300
 RETRIEVAL_K = 5
@@ -138,6 +141,17 @@ MODE_FULL = "Full multi-agent workflow"
 MODE_SQL = "Structured SQL answer"
 MODE_RAG = "RAG context search"
 
+# Column titles of the leaderboard.
+LEADERBOARD_TITLES = {
+    "property_name": "Property Name",
+    "churn_risk_label": "Risk Level",
+    "complaint_count": "Complaints",
+    "avg_csat": "CSAT Score",
+    "missed_pickups_30d": "Missed Pickups",
+    "contract_value": "Contract Revenue ($)",
+    "renewal_date": "Renewal Date",
+}
+
 REPORT_SECTIONS = ["KEY FINDINGS", "ROOT CAUSE", "RISK ASSESSMENT", "RECOMMENDED ACTIONS"]
 
 # --- fixed values: figures derived without the gold tables ------------------

@@ -3,6 +3,7 @@ from curbsight.functions.formats import (
     dollars,
     number_text,
     pick,
+    rounded,
     strip_whitespace,
     text_or_none,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "pick",
     "property_number",
     "ratio",
+    "rounded",
     "snap_round",
     "strip_whitespace",
     "text_or_none",

@@ -35,9 +35,21 @@ def dollars(amount: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(amount, 0))
 
 
-def number_text(value: Column, places: int) -> Column:
-    """A number with a fixed count of decimals and no thousands separator."""
-    return F.format_string(f"%.{places}f", value)
+def number_text(value: Column, places: int, missing: str = fv.NO_FIGURE) -> Column:
+    """A number with a fixed count of decimals and no thousands separator; a null reads ``missing``.
+
+    The binary value is rounded, an exact tie to the even digit.
+    """
+    return F.coalesce(_fixed(value, places), F.lit(missing))
+
+
+def rounded(value: Column, places: int) -> Column:
+    """A number rounded like in :func:`number_text`, as a number; null stays null."""
+    return _fixed(value, places).cast("double")
+
+
+def _fixed(value: Column, places: int) -> Column:
+    return F.call_function("format_number", value.cast("double"), F.lit("0." + "0" * places))
 
 
 def text_or_none(value: Column) -> Column:

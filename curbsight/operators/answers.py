@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
-from curbsight.functions import dollars, text_or_none
+from curbsight.functions import dollars, rounded, text_or_none
 from curbsight.sources.tables import mapping_table
 
 
@@ -49,14 +49,14 @@ def line_formats() -> dict[str, Column]:
         "service performance": _line(
             ("Category", col("service_category")),
             ("Complaints", col("total_complaints")),
-            ("CSAT", F.round("avg_csat", 2)),
-            ("Avg Resolution", F.concat(F.round("avg_resolution_time", 1).cast("string"), F.lit("h"))),
+            ("CSAT", rounded(col("avg_csat"), 2)),
+            ("Avg Resolution", F.concat(rounded(col("avg_resolution_time"), 1).cast("string"), F.lit("h"))),
         ),
         "property health": _line(
             ("Property", col("property_name")),
             ("Type", col("property_type")),
             ("Complaints", col("total_complaints")),
-            ("CSAT", F.round("avg_csat", 2)),
+            ("CSAT", rounded(col("avg_csat"), 2)),
             ("Missed Pickups", col("total_missed_pickups")),
         ),
         "renewal timing": _line(

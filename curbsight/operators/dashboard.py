@@ -11,16 +11,6 @@ from pyspark.sql import functions as F
 from curbsight import fixed_values as fv
 from curbsight.functions import dollars, number_text
 
-LEADERBOARD_TITLES = {
-    "property_name": "Property Name",
-    "churn_risk_label": "Risk Level",
-    "complaint_count": "Complaints",
-    "avg_csat": "CSAT Score",
-    "missed_pickups_30d": "Missed Pickups",
-    "contract_value": "Contract Revenue ($)",
-    "renewal_date": "Renewal Date",
-}
-
 
 def churn_view(churn: DataFrame) -> DataFrame:
     """The dashboard's seven churn columns, the date as text."""
@@ -35,9 +25,12 @@ def churn_view(churn: DataFrame) -> DataFrame:
     )
 
 
-def kpi_cards(churn: DataFrame) -> DataFrame:
-    """One row of portfolio figures, every property counting once."""
-    figures = churn.agg(
+def kpi_cards(churn: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Portfolio figures, every property counting once: one row, or one per group of ``by``.
+
+    Without properties the sums are 0, the averages null and their texts say so.
+    """
+    figures = churn.groupBy(*by).agg(
         _sum_or_zero(F.when(_high(), F.col("contract_value"))).alias("revenue_at_risk"),
         F.count(F.when(_high(), 1)).alias("high_risk_count"),
         F.avg("avg_csat").alias("avg_csat"),
@@ -92,7 +85,7 @@ def filter_portfolio(
         return kept
     name = F.col("property_name")
     if regex:
-        return kept.where(name.rlike(f"(?i){search}"))
+        return kept.where(name.rlike(f"(?iu){search}"))
     return kept.where(F.contains(F.lower(name), F.lower(F.lit(search))))
 
 
@@ -116,7 +109,7 @@ def leaderboard(churn: DataFrame) -> DataFrame:
     """All properties, most complaints first, under display titles."""
     ranked = churn.orderBy(F.desc("complaint_count"), F.asc("property_id"))
     shown = ranked.withColumn("renewal_date", F.date_format("renewal_date", "yyyy-MM-dd"))
-    return shown.select(*[F.col(c).alias(title) for c, title in LEADERBOARD_TITLES.items()])
+    return shown.select(*[F.col(c).alias(title) for c, title in fv.LEADERBOARD_TITLES.items()])
 
 
 def _high() -> Column:

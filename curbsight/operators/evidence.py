@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
 
+MAX_PUSHED_IDS = 1000
+
 RAG_INSTRUCTION = (
-    "You help a client success team. Answer the question from the complaint records below, "
-    "briefly and clearly. If they do not hold the answer, say that nothing relevant was found."
+    "Each record below is one exchange: what a resident wrote, what support replied, and the service it "
+    "concerns. Use these records only. Name the records you rely on, and write \"no matching record\" "
+    "where they are silent."
 )
 REPORT_INSTRUCTION = (
     "You advise on keeping customers. Study the findings and the complaint records, "
@@ -20,8 +23,19 @@ REPORT_INSTRUCTION = (
 
 
 def attach_documents(hits: DataFrame, documents: DataFrame, doc_id: str) -> DataFrame:
-    """Hits with their documents. Hits are few per query; once they are written, Spark sees
-    their size and ships them to the documents instead of moving the texts."""
+    """Hits with their documents.
+
+    Hits are few per query; once they are written, Spark sees their size and
+    ships them to the documents instead of moving the texts. Documents stored
+    in order of their id are read only where hits can lie: the ids themselves
+    go into the scan while they are few, their range otherwise.
+    """
+    ids = [row[0] for row in hits.select(doc_id).distinct().limit(MAX_PUSHED_IDS + 1).collect()]
+    if len(ids) <= MAX_PUSHED_IDS:
+        documents = documents.where(F.col(doc_id).isin(ids))
+    else:
+        low, high = hits.agg(F.min(doc_id), F.max(doc_id)).first()
+        documents = documents.where(F.col(doc_id).between(low, high))
     return hits.join(documents, doc_id)
 
 

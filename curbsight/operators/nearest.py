@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from curbsight import fixed_values as fv
+from curbsight.sources.storage import materialize
 
 # The helpers below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,9 +52,10 @@ def nearest(
     """The ``k`` nearest corpus rows of every query: ``(query_id, vec_id, d2, position)``.
 
     Ids are unique on each side. Equal distances fall back on the vector id.
+    A null or empty vector on either side fails the search, as do unequal
+    lengths and values that are not finite.
     """
-    corpus = corpus.where(F.col(embedding).isNotNull()).select(vec_id, embedding)
-    queries = queries.where(F.col(embedding).isNotNull()).select(query_id, embedding)
+    corpus, queries = corpus.select(vec_id, embedding), queries.select(query_id, embedding)
     schema = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),
@@ -66,19 +68,20 @@ def nearest(
     if not shipped:
         candidates = corpus.sparkSession.createDataFrame([], schema)
     else:
-        dimensions = max(1, len(shipped[0][1]))
-        block_rows = max(1, min(max_shipped, MAX_SHIPPED_VALUES // dimensions))
-        chunk_rows = max(1, min(chunk_rows, MAX_CHUNK_VALUES // dimensions))
-        if len(shipped) <= block_rows:
+        dimensions = max(1, len(shipped[0][1] or ()))
+        if len(shipped) <= min(max_shipped, MAX_SHIPPED_VALUES // dimensions):
             candidates = _scan_candidates(corpus, shipped, schema, k)
         else:
-            candidates = _block_candidates(corpus, queries, schema, k, block_rows, chunk_rows)
+            rows = max(1, min(chunk_rows, MAX_CHUNK_VALUES // dimensions))
+            candidates = _block_candidates(corpus, materialize(queries, "queries"), schema, k, rows)
     return _merge(candidates, k, query_id, vec_id)
 
 
 def _scan_candidates(corpus: DataFrame, queries: list[Row], schema: T.StructType, k: int) -> DataFrame:
     """One pass over the corpus with all queries at hand in every task; nothing is shuffled."""
     query_ids = [row[0] for row in queries]
+    if not all(row[1] for row in queries):
+        raise ValueError("vectors must not be null or empty")
     matrix = np.array([row[1] for row in queries], dtype=np.float64)
     shipped = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
     out = to_arrow_schema(schema)
@@ -94,12 +97,11 @@ def _scan_candidates(corpus: DataFrame, queries: list[Row], schema: T.StructType
 
 
 def _block_candidates(
-    corpus: DataFrame, queries: DataFrame, schema: T.StructType, k: int, block_rows: int, chunk_rows: int
+    corpus: DataFrame, queries: DataFrame, schema: T.StructType, k: int, rows: int
 ) -> DataFrame:
-    """Every block of queries meets every chunk of the corpus once, both bounded in rows."""
+    """Every block of queries meets every chunk of the corpus once."""
     query_id, vec_id, _ = schema.names
-    blocks = ceil(queries.count() / block_rows)
-    chunks = max(1, ceil(corpus.count() / chunk_rows))
+    blocks, chunks = _cuts(queries.count(), rows), _cuts(corpus.count(), rows)
     # New names, as queries taken from the corpus itself would share its columns.
     left = queries.select(
         F.col(query_id).alias("asked_id"),
@@ -126,6 +128,16 @@ def _block_candidates(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
 
 
+def _cuts(count: int, rows: int) -> int:
+    """Blocks or chunks of so many ids.
+
+    Ids are dealt by hash, so cuts are planned for half of what a task may
+    hold. They are as few as that allows: each block of queries costs a copy
+    of the corpus in the shuffle.
+    """
+    return max(1, ceil(count / ceil(rows / 2)))
+
+
 def _merge(candidates: DataFrame, k: int, query_id: str, vec_id: str) -> DataFrame:
     """Overall best ``k``: first within salts of a query, then among the salts' winners."""
     order = [F.asc("d2"), F.asc(vec_id)]
@@ -225,7 +237,9 @@ def _ids(column: pa.Array) -> np.ndarray:
 def _matrix(column: pa.Array) -> np.ndarray:
     if len(column) == 0:
         return np.empty((0, 1))
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    if lengths.min() == 0:
+        raise ValueError("vectors must not be null or empty")
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if lengths.min() != lengths.max() or not np.isfinite(values).all():
         raise ValueError("vectors must be finite and of one length")

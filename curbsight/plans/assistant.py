@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
@@ -24,13 +24,35 @@ class DocumentIndex:
     encoder: TermEncoder
     doc_id: str = "ticket_id"
 
+    def save(self, path: str) -> None:
+        """Store the index in one new folder; its description comes last and marks it complete."""
+        write_sorted(self.documents, self.doc_id, f"{path}/documents")
+        self.vectors.write.parquet(f"{path}/vectors")
+        self.encoder.save(f"{path}/encoder")
+        named = self.documents.sparkSession.range(1).select(F.lit(self.doc_id).alias("doc_id"))
+        named.write.parquet(f"{path}/description")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> DocumentIndex:
+        """A stored index, ready for questions; one that was not stored completely raises."""
+        doc_id = spark.read.parquet(f"{path}/description").first()["doc_id"]
+        texts, encoded = (spark.read.parquet(f"{path}/{part}") for part in ("documents", "vectors"))
+        return cls(texts, encoded, TermEncoder.load(f"{path}/encoder"), doc_id)
+
+
+def write_sorted(df: DataFrame, doc_id: str, path: str) -> None:
+    """Rows in order of their id, within files and across them, so that a scan for few ids skips the rest."""
+    df.repartitionByRange(doc_id).sortWithinPartitions(doc_id).write.parquet(path)
+
 
 def build_index(tickets: DataFrame, churn: DataFrame, doc_id: str = "ticket_id") -> DocumentIndex:
     """Render and encode all tickets. Texts are stored once; a search reads vectors only."""
+    spark = tickets.sparkSession
     labelled = documents.with_property_risk(tickets, churn)
-    rendered = storage.materialize(
-        documents.render(labelled).select(doc_id, "page_content", "metadata"), "documents"
-    )
+    rendered = documents.render(labelled).select(doc_id, "page_content", "metadata")
+    path = storage.new_location(spark, "documents")
+    write_sorted(rendered, doc_id, path)
+    rendered = spark.read.schema(rendered.schema).parquet(path)
     encoder = TermEncoder.fit(rendered)
     encoded = encoder.encode(rendered).select(doc_id, "embedding")
     return DocumentIndex(rendered, storage.materialize(encoded, "vectors"), encoder, doc_id)
@@ -41,7 +63,7 @@ def retrieve(index: DocumentIndex, questions: DataFrame, k: int = fv.RETRIEVAL_K
 
     ``questions`` has ``query_id`` and ``question``.
     """
-    encoded = index.encoder.encode(questions, text="question")
+    encoded = index.encoder.encode(questions, text="question").select("query_id", "embedding")
     hits = nearest.nearest(index.vectors, encoded, k, vec_id=index.doc_id)
     return evidence.attach_documents(storage.materialize(hits, "hits"), index.documents, index.doc_id)
 
@@ -80,6 +102,37 @@ def question_state(
     questions: DataFrame, gold: dict[str, DataFrame], index: DocumentIndex, as_of: dt.date
 ) -> DataFrame:
     """Question, findings, retrieval prompt and report prompt, one row per distinct question."""
+    return _answered(questions, gold, index, as_of).drop("query_id")
+
+
+def request_answers(
+    questions: DataFrame, gold: dict[str, DataFrame], index: DocumentIndex, as_of: dt.date
+) -> DataFrame:
+    """For each request (``question_id``, ``mode``, ``question``) the outputs that its route returns.
+
+    ``findings`` is the report text or the fixed answer. A blank question gets
+    the fixed answer where its mode asks for findings, and no prompts. Answers
+    are unique per question, so a question that everybody asks only lengthens
+    the side of the requests, which the adaptive skew join splits.
+    """
+    answered = storage.materialize(_answered(questions, gold, index, as_of), "answers")
+    requests = routing.routed(questions).withColumn(
+        "query_id", F.sha2(strip_whitespace(F.col("question")), 256)
+    )
+    findings = F.coalesce("sql_result", F.lit(fv.FALLBACK_ANSWER))
+    return requests.join(answered.drop("question", "intent"), "query_id", "left").select(
+        "question_id",
+        "mode",
+        "route",
+        F.when(F.col("returns_findings"), findings).alias("findings"),
+        F.when(F.col("returns_context"), F.col("rag_prompt")).alias("rag_prompt"),
+        F.when(F.col("returns_report"), F.col("recommendation_prompt")).alias("recommendation_prompt"),
+    )
+
+
+def _answered(
+    questions: DataFrame, gold: dict[str, DataFrame], index: DocumentIndex, as_of: dt.date
+) -> DataFrame:
     asked = storage.materialize(distinct_questions(questions), "questions")
     texts = answers.answer_texts(answers.answer_lines(report_set(gold, as_of)))
     found = evidence.contexts(retrieve(index, asked))
@@ -90,6 +143,7 @@ def question_state(
         .join(found, "query_id", "left")
         .withColumn("sql_result", F.coalesce("sql_result", F.lit(fv.FALLBACK_ANSWER)))
         .select(
+            "query_id",
             "question",
             "times_asked",
             "intent",

@@ -159,6 +159,9 @@ _SILVER = [
     "churn_risk_label",
 ]
 
+_ROUTE = f"""CASE mode WHEN {_text(fv.MODE_FULL)} THEN 'full' WHEN {_text(fv.MODE_SQL)} THEN 'sql'
+    WHEN {_text(fv.MODE_RAG)} THEN 'rag' ELSE CASE WHEN intent IS NOT NULL THEN 'full' ELSE 'rag' END END"""
+
 RELATIONS = {
     "tickets": f"""
         SELECT event_id AS ticket_id, printf('CUST_%05d', user_id) AS customer_id,
@@ -276,19 +279,13 @@ RELATIONS = {
           USING (intent)
     """,
     "conversation_tickets": f"""
-        SELECT conv_id AS ticket_id, printf('CUST_%05d', conv_id % {adapters.CONVERSATION_PROPERTIES})
-            AS property_id,
-          min(CASE WHEN role = 'user' AND turn = first_user THEN text END) AS complaint_description,
-          min(CASE WHEN role = 'assistant' AND turn = first_reply THEN text END) AS service_response,
-          CASE WHEN max(last_reply) > max(first_reply)
-            THEN max(CASE WHEN role = 'assistant' AND turn = last_reply THEN text END) END AS resolution_notes,
+        SELECT conv_id * {adapters.TURNS} + answered AS ticket_id,
+          printf('CUST_%05d', conv_id % {adapters.CONVERSATION_PROPERTIES}) AS property_id,
+          complaint_description, service_response, NULL::VARCHAR AS resolution_notes,
           {_pick([*adapters.CONVERSATION_CATEGORIES, None], 'conv_id % 5')} AS service_category
-        FROM (SELECT *,
-            min(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id) AS first_user,
-            min(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS first_reply,
-            max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_reply
-          FROM conversations)
-        GROUP BY conv_id
+        FROM (SELECT conv_id, turn + 1 AS answered, text AS complaint_description FROM conversations WHERE role = 'user')
+        FULL JOIN (SELECT conv_id, turn AS answered, text AS service_response FROM conversations
+            WHERE role = 'assistant') USING (conv_id, answered)
     """,
     "labelled": """
         SELECT t.ticket_id, t.property_id, complaint_description, service_response, resolution_notes,
@@ -303,8 +300,7 @@ RELATIONS = {
     """,
     "asked": f"""
         SELECT question, count(*) AS times_asked, sha256(question) AS query_id FROM (
-          SELECT trim({_pick(adapters.QUESTIONS, f'event_id % {len(adapters.QUESTIONS)}')},
-            {_BLANKS}) AS question FROM events)
+          SELECT trim(question, {_BLANKS}) AS question FROM questions)
         WHERE question <> '' GROUP BY question
     """,
     "tokens": r"""
@@ -374,10 +370,21 @@ RELATIONS = {
           FROM embeddings) GROUP BY ALL
     """,
     "questions": f"""
-        SELECT event_id AS question_id, {_pick(adapters.MODES, f'event_id % {len(adapters.MODES)}')} AS mode,
-          {_pick(adapters.QUESTIONS, f'event_id % {len(adapters.QUESTIONS)}')} AS question
+        SELECT conv_id * {adapters.TURNS} + turn AS question_id,
+          {_pick(adapters.MODES, f'(conv_id + turn) % {len(adapters.MODES)}')} AS mode, text AS question
+        FROM conversations WHERE role = 'user'
+        UNION ALL
+        SELECT -1 - event_id, {_pick(adapters.MODES, f'event_id % {len(adapters.MODES)}')},
+          {_pick(adapters.QUESTIONS, f'event_id % {len(adapters.QUESTIONS)}')}
         FROM events
     """,
+    "requests": f"""
+        SELECT question_id, mode, question, intent, {_ROUTE} AS route,
+        mode <> {_text(fv.MODE_RAG)} AS returns_findings, {_ROUTE} <> 'sql' AS returns_context,
+        {_ROUTE} = 'full' AS returns_report,
+        CASE WHEN mode <> {_text(fv.MODE_RAG)} AND intent IS NULL THEN {_text(fv.FALLBACK_ANSWER)} END AS fixed_answer
+        FROM (SELECT *, {_intent('question')} AS intent FROM questions)
+    """,
 }
 
 
@@ -394,8 +401,17 @@ def _knn(centroids: str) -> str:
     """
 
 
-_ROUTE = f"""CASE mode WHEN {_text(fv.MODE_FULL)} THEN 'full' WHEN {_text(fv.MODE_SQL)} THEN 'sql'
-    WHEN {_text(fv.MODE_RAG)} THEN 'rag' ELSE CASE WHEN intent IS NOT NULL THEN 'full' ELSE 'rag' END END"""
+
+
+def _kpi(group: str, source: str) -> str:
+    also = f"{group}, " if group else ""
+    return f"""SELECT {also}revenue_at_risk, high_risk_count, round(avg_csat, 6) AS avg_csat,
+          round(avg_missed, 6) AS avg_missed_pickups, {_dollars('revenue_at_risk')} AS revenue_text,
+          printf('%.2f', avg_csat) || ' / 5.0' AS csat_text, printf('%.1f', avg_missed) AS missed_text
+        FROM (SELECT {also}coalesce(sum(CASE WHEN churn_risk_label = 'high' THEN contract_value END), 0) AS revenue_at_risk,
+          count(*) FILTER (WHERE churn_risk_label = 'high') AS high_risk_count, avg(avg_csat) AS avg_csat,
+          avg(missed_pickups_30d) AS avg_missed {source})"""
+
 
 _LEADERBOARD = """SELECT property_name AS "Property Name", churn_risk_label AS "Risk Level",
     complaint_count AS "Complaints", avg_csat AS "CSAT Score", missed_pickups_30d AS "Missed Pickups",
@@ -497,12 +513,7 @@ SELECTS = {
         FROM silver GROUP BY service_category""",
     "answer_lines": "SELECT * FROM lines",
     "answer_texts": "SELECT * FROM texts",
-    "kpi_cards": f"""SELECT revenue_at_risk, high_risk_count, round(avg_csat, 6) AS avg_csat,
-          round(avg_missed, 6) AS avg_missed_pickups, {_dollars('revenue_at_risk')} AS revenue_text,
-          printf('%.2f', avg_csat) || ' / 5.0' AS csat_text, printf('%.1f', avg_missed) AS missed_text
-        FROM (SELECT coalesce(sum(CASE WHEN churn_risk_label = 'high' THEN contract_value END), 0) AS revenue_at_risk,
-          count(*) FILTER (WHERE churn_risk_label = 'high') AS high_risk_count, avg(avg_csat) AS avg_csat,
-          avg(missed_pickups_30d) AS avg_missed FROM churn)""",
+    "kpi_cards": _kpi("", "FROM churn"),
     "alert_urgent_renewals": f"""SELECT *, {_dollars('renewing_revenue')} AS renewing_revenue_text FROM (
         SELECT count(*) AS renewing_count, coalesce(sum(contract_value), 0)::DOUBLE AS renewing_revenue
         FROM churn WHERE churn_risk_label = 'high' AND renewal_date <= {AS_OF} + {fv.RENEWAL_NOTICE_DAYS})""",
@@ -575,11 +586,28 @@ SELECTS = {
         WHERE property_id IN (SELECT property_id FROM conversation_tickets)""",
     "route_can_handle": f"SELECT question_id, ({_intent('question')}) IS NOT NULL AS can_handle FROM questions",
     "route_intent": f"SELECT question_id, question, {_intent('question')} AS intent FROM questions",
-    "route_mode": f"""SELECT question_id, mode, intent, {_ROUTE} AS route,
-        mode <> {_text(fv.MODE_RAG)} AS returns_findings, {_ROUTE} <> 'sql' AS returns_context,
-        {_ROUTE} = 'full' AS returns_report,
-        CASE WHEN mode <> {_text(fv.MODE_RAG)} AND intent IS NULL THEN {_text(fv.FALLBACK_ANSWER)} END AS fixed_answer
-        FROM (SELECT *, {_intent('question')} AS intent FROM questions)""",
+    "route_mode": "SELECT * EXCLUDE (question) FROM requests",
+    "request_answers": f"""SELECT question_id, mode, route,
+        CASE WHEN returns_findings THEN coalesce(sql_result, {_text(fv.FALLBACK_ANSWER)}) END AS findings,
+        CASE WHEN returns_context THEN rag_prompt END AS rag_prompt,
+        CASE WHEN returns_report THEN recommendation_prompt END AS recommendation_prompt
+        FROM requests LEFT JOIN state ON state.question = trim(requests.question, {_BLANKS})""",
+    "bronze_csv_by_name": "SELECT *, 'batch ' || ticket_id % 3 AS batch FROM tickets",
+    "bronze_csv_rejects": """SELECT CASE WHEN ticket_id % 13 = 5 THEN 'rejected' ELSE 'kept' END AS outcome,
+        count(*) AS tickets, sum(ticket_id)::BIGINT AS id_sum,
+        count(CASE WHEN ticket_id % 13 <> 5 THEN csat_score END) AS scores FROM tickets GROUP BY 1""",
+    "silver_quarantine": """SELECT ticket_id, 'BAD_' || customer_id AS customer_id FROM tickets WHERE ticket_id % 17 = 3""",
+    "silver_lenient": """SELECT ticket_id, property_name FROM silver WHERE ticket_id % 17 <> 3
+        UNION ALL SELECT ticket_id, NULL FROM silver WHERE ticket_id % 17 = 3""",
+    "kpi_by_name": _kpi("property_name", "FROM churn GROUP BY property_name"),
+    "kpi_no_match": f"""SELECT 0::DOUBLE AS revenue_at_risk, 0::BIGINT AS high_risk_count, NULL::DOUBLE AS avg_csat,
+        NULL::DOUBLE AS avg_missed_pickups, '$0' AS revenue_text, '{fv.NO_FIGURE} / 5.0' AS csat_text,
+        '{fv.NO_FIGURE}' AS missed_text""",
+    "fallback_churn_from_export": f"""SELECT complaint_count, churn_risk_label, {_FALLBACK_NAME} AS property_name FROM (
+        SELECT property_id, count(*) AS complaint_count,
+          arg_min(lower(coalesce(churn_risk_label, 'medium')), ticket_id) AS churn_risk_label,
+          {_ID_DIGITS} AS d FROM silver GROUP BY property_id)""",
+    "index_roundtrip": "SELECT query_id, position::INTEGER AS position, ticket_id, page_content FROM hits JOIN documents_text USING (ticket_id)",
 }
 
 

@@ -78,6 +78,26 @@ def bronze_csv_scan(spark, sf):
     return csv_files.read_tickets(spark, path)
 
 
+def bronze_csv_by_name(spark, sf):
+    """Files whose columns lie in another order, with one more than the declared ones."""
+    path = storage.new_location(spark, "tickets-by-name")
+    tickets = adapters.tickets(spark, sf).withColumn("batch", F.concat(F.lit("batch "), (F.col("ticket_id") % 3).cast("string")))
+    csv_files.write_tickets(tickets.select(*reversed(tickets.columns)), path)
+    return csv_files.read_tickets(spark, path)
+
+
+def bronze_csv_rejects(spark, sf):
+    """Some scores are no numbers: their records are set aside and counted."""
+    path = storage.new_location(spark, "tickets-rejects")
+    score = F.when(F.col("ticket_id") % 13 == 5, "x2").otherwise(F.col("csat_score").cast("string"))
+    csv_files.write_tickets(adapters.tickets(spark, sf).withColumn("csat_score", score), path)
+    read = storage.materialize(csv_files.read_tickets(spark, path, rejects=True), "tickets-read")
+    good, rejected = csv_files.split_rejects(read)
+    figures = [F.count("*").alias("tickets"), F.sum("ticket_id").alias("id_sum"), F.count("csat_score").alias("scores")]
+    kept = good.agg(F.lit("kept").alias("outcome"), *figures)
+    return kept.union(rejected.agg(F.lit("rejected").alias("outcome"), *figures)).where("tickets > 0")
+
+
 def bronze_table_roundtrip(spark, sf):
     tables.write_table(
         adapters.tickets(spark, sf), "bronze_tickets", storage.new_location(spark, "bronze-tickets")
@@ -167,6 +187,22 @@ def _silver_column(column: str) -> Query:
     return lambda spark, sf: _silver(spark, sf).select(*SILVER_KEYS, column)
 
 
+def _with_bad_ids(spark: SparkSession, sf: str) -> DataFrame:
+    bad = F.concat(F.lit("BAD_"), "customer_id")
+    return adapters.tickets(spark, sf).withColumn(
+        "customer_id", F.when(F.col("ticket_id") % 17 == 3, bad).otherwise(F.col("customer_id"))
+    )
+
+
+def silver_quarantine(spark, sf):
+    return silver.malformed_ids(_with_bad_ids(spark, sf)).select("ticket_id", "customer_id")
+
+
+def silver_lenient(spark, sf):
+    """Tickets with malformed ids stay in a lenient run, without a name."""
+    return silver.to_silver(_with_bad_ids(spark, sf), AS_OF, strict=False).select("ticket_id", "property_name")
+
+
 def lookup_join_category(spark, sf):
     joined = silver.with_category_from_table(adapters.tickets(spark, sf), silver.category_table(spark))
     return joined.select("ticket_id", "issue_type", "service_category")
@@ -243,6 +279,14 @@ def kpi_cards(spark, sf):
     return _rounded(dashboard.kpi_cards(_churn(spark, sf)), "avg_csat", "avg_missed_pickups")
 
 
+def kpi_by_name(spark, sf):
+    return _rounded(dashboard.kpi_cards(_churn(spark, sf), ["property_name"]), "avg_csat", "avg_missed_pickups")
+
+
+def kpi_no_match(spark, sf):
+    return dashboard.kpi_cards(dashboard.filter_portfolio(_churn(spark, sf), search="no such name"))
+
+
 def alert_bottleneck(spark, sf):
     return _rounded(dashboard.bottleneck(_rollup(spark, sf)), "avg_resolution_time")
 
@@ -276,6 +320,12 @@ def fallback_churn(spark, sf):
     return fallback.churn_counts(_silver(spark, sf), "ticket_id")
 
 
+def fallback_churn_from_export(spark, sf):
+    path = storage.new_location(spark, "churn-export")
+    csv_files.export_rag(_silver(spark, sf), path)
+    return fallback.churn_counts(csv_files.read_rag_in_order(spark, path), "ingest_order")
+
+
 def _service_counts(keep_missing: bool) -> Query:
     return lambda spark, sf: fallback.service_counts(adapters.conversation_tickets(spark, sf), keep_missing)
 
@@ -361,6 +411,15 @@ def rag_context(spark, sf):
     return evidence.contexts(_hits(spark, sf))
 
 
+def index_roundtrip(spark, sf):
+    """Questions to an index that was stored and loaded."""
+    path = storage.new_location(spark, "index")
+    _index(spark, sf).save(path)
+    asked = storage.materialize(assistant.distinct_questions(adapters.questions(spark, sf)), "questions")
+    hits = assistant.retrieve(assistant.DocumentIndex.load(spark, path), asked)
+    return hits.select("query_id", "position", "ticket_id", "page_content")
+
+
 def rag_prompt(spark, sf):
     return assistant.rag_prompts(adapters.questions(spark, sf), _index(spark, sf))
 
@@ -371,6 +430,12 @@ def question_state(spark, sf):
     return assistant.question_state(adapters.questions(spark, sf), gold_set, index, AS_OF)
 
 
+def request_answers(spark, sf):
+    gold_set = _gold(spark, sf)
+    index = assistant.build_index(adapters.conversation_tickets(spark, sf), gold_set["gold_churn_risk"])
+    return assistant.request_answers(adapters.questions(spark, sf), gold_set, index, AS_OF)
+
+
 def recommendation_prompt(spark, sf):
     return question_state(spark, sf).select("question", "recommendation_prompt")
 
@@ -417,6 +482,8 @@ def _on(source: Query, step: Callable[..., DataFrame], *args) -> Query:
 
 QUERIES: dict[str, Query] = {
     "bronze_csv_scan": bronze_csv_scan,
+    "bronze_csv_by_name": bronze_csv_by_name,
+    "bronze_csv_rejects": bronze_csv_rejects,
     "bronze_table_roundtrip": bronze_table_roundtrip,
     "silver_scan": silver_scan,
     "gold_table_roundtrip": gold_table_roundtrip,
@@ -435,6 +502,8 @@ QUERIES: dict[str, Query] = {
     "silver_renewal_date": _silver_column("renewal_date"),
     "silver_service_category": _silver_column("service_category"),
     "silver_churn_label": _silver_column("churn_risk_label"),
+    "silver_quarantine": silver_quarantine,
+    "silver_lenient": silver_lenient,
     "silver_stream": silver_stream_table,
     "lookup_join_category": lookup_join_category,
     "rag_projection": _on(_silver, documents.rag_projection),
@@ -460,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "answer_lines": answer_lines,
     "answer_texts": answer_texts,
     "kpi_cards": kpi_cards,
+    "kpi_by_name": kpi_by_name,
+    "kpi_no_match": kpi_no_match,
     "alert_urgent_renewals": _on(_churn, dashboard.urgent_renewals, AS_OF),
     "alert_lowest_csat": _on(_churn, dashboard.lowest_csat),
     "alert_bottleneck": alert_bottleneck,
@@ -475,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "fallback_property_name": fallback_property_name,
     "fallback_property_type": fallback_property_type,
     "fallback_churn": fallback_churn,
+    "fallback_churn_from_export": fallback_churn_from_export,
     "fallback_service_counts": _service_counts(False),
     "fallback_service_counts_filled": _service_counts(True),
     "fallback_pickup_share": fallback_pickup_share,
@@ -493,6 +565,8 @@ QUERIES: dict[str, Query] = {
     "rag_prompt": rag_prompt,
     "recommendation_prompt": recommendation_prompt,
     "question_state": question_state,
+    "request_answers": request_answers,
+    "index_roundtrip": index_roundtrip,
     "evidence_join": evidence_join,
     "properties_without_complaints": properties_without_complaints,
     "properties_with_complaints": properties_with_complaints,

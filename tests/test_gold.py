@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,8 +7,8 @@ from pyspark.sql import functions as F
 from curbsight.functions import snap_round
 from curbsight.operators import audit, fallback, gold, silver
 from curbsight.plans import medallion
-from curbsight.sources import adapters, csv_files
-from tests.helpers import plan, rows
+from curbsight.sources import adapters, csv_files, storage
+from tests.helpers import plan, rows, values
 
 SILVER = """property_id string, property_name string, property_type string, service_category string,
     csat_score bigint, resolution_time_hours double, contract_value int, missed_pickups_30d int, renewal_date date"""
@@ -111,6 +112,27 @@ def test_nightly_run_from_ticket_files(spark, sf_dir, tmp_path):
     same(by_file, fallback.churn_counts(silver.to_silver(tickets, adapters.AS_OF), "ticket_id"))
 
 
+def test_nightly_run_leaves_no_scratch(spark, sf_dir, tmp_path):
+    csv_files.write_tickets(adapters.tickets(spark, sf_dir), str(tmp_path / "in"))
+    own = storage._own_folder(spark)
+    before = set(os.listdir(own)) if os.path.isdir(own) else set()
+    medallion.run_nightly(spark, str(tmp_path / "in"), adapters.AS_OF, str(tmp_path / "export"), str(tmp_path / "tables"))
+    assert (set(os.listdir(own)) if os.path.isdir(own) else set()) == before
+
+
+def test_lenient_nightly_run_keeps_malformed_ids_aside(spark, sf_dir, tmp_path):
+    bad = F.when(F.col("ticket_id") < 3, "BAD").otherwise(F.col("customer_id"))
+    csv_files.write_tickets(adapters.tickets(spark, sf_dir).withColumn("customer_id", bad), str(tmp_path / "in"))
+    given = (spark, str(tmp_path / "in"), adapters.AS_OF, str(tmp_path / "export"), str(tmp_path / "tables"))
+    with pytest.raises(Exception, match="BAD|CAST_INVALID_INPUT"):
+        medallion.run_nightly(*given)
+    figures = medallion.run_nightly(*given, strict=False)
+    counts = dict(rows(figures["row_counts"]))
+    assert counts["quarantined_tickets"] == 3 and counts["silver_tickets"] == 1000
+    assert sorted(values(spark.table("quarantined_tickets"), "ticket_id")) == [0, 1, 2]
+    assert spark.table("silver_tickets").where("property_name IS NULL").count() == 3
+
+
 def test_duplicate_keys_are_reported(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",)], "property_id string")
     assert rows(audit.duplicate_keys(df)) == [("A", 2)]

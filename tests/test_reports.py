@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
+from curbsight.functions import number_text, rounded
 from curbsight.operators import answers, dashboard, fallback, reports
 from tests.helpers import plan, rows, values
 
@@ -166,3 +167,30 @@ def test_pickup_shares_are_cut_and_may_exceed_the_total(spark):
     categories = spark.createDataFrame([(n,) for n in names], "service_category string")
     found = fallback.category_pickups(categories, churn(spark, prop("A", missed=9), prop("B", missed=8)))
     assert dict(rows(found)) == {names[0]: 11, names[1]: 11, names[2]: 3, names[3]: 1}
+
+
+@pytest.mark.parametrize(
+    ("value", "places", "text"),
+    [(4.25, 1, "4.2"), (2.675, 2, "2.67"), (0.125, 2, "0.12"), (0.375, 2, "0.38"), (12345.5, 0, "12346"), (None, 2, "n/a")],
+)
+def test_figures_round_like_the_reports_they_match(spark, value, places, text):
+    df = spark.createDataFrame([(value,)], "x double")
+    if places:
+        assert values(df.select(number_text(F.col("x"), places).alias("t")), "t") == [text]
+        assert values(df.select(rounded(F.col("x"), places).alias("t")), "t") == [None if value is None else float(text)]
+
+
+def test_kpi_texts_on_ties_and_without_properties(spark):
+    df = churn(spark, *[prop(f"P{i}", csat=c, missed=m) for i, (c, m) in enumerate([(2.0, 4), (2.25, 4), (2.0, 4), (2.25, 5)])])
+    tie = dashboard.kpi_cards(df).first()
+    assert (tie.csat_text, tie.missed_text) == ("2.12 / 5.0", "4.2")
+    none = dashboard.kpi_cards(df.limit(0)).first()
+    assert (none.revenue_text, none.csat_text, none.missed_text, none.high_risk_count) == ("$0", "n/a / 5.0", "n/a", 0)
+
+
+def test_fixed_thresholds_and_orders():
+    assert fv.CONTRACT_FLOOR == 10_000 and fv.RENEWAL_NOTICE_DAYS == 30 and fv.TOP_N == 10 and fv.RETRIEVAL_K == 5
+    assert list(fv.INTENT_PATTERNS) == [
+        "high churn risk", "low csat", "missed pickups", "contract value at risk", "service performance", "property health", "renewal timing",
+    ]
+    assert fv.DEFAULT_SERVICE_CATEGORY == "Doorstep Collection"

@@ -65,10 +65,28 @@ def test_far_from_the_origin(spark):
     assert found_ids(found) == brute_force(range(200), corpus, [0], corpus[:1], 3)
 
 
-def test_text_ids_small_corpus_and_nulls(spark):
-    corpus = frame(spark, ["b", "a"], [[1, 0], [1, 0]], "vec_id", "string").unionByName(
-        spark.createDataFrame([("n", None)], "vec_id string, embedding array<float>")
-    )
+@pytest.mark.parametrize("vector", [None, []])
+@pytest.mark.parametrize("max_shipped", [10, 0])
+def test_null_and_empty_vectors_are_refused(spark, vector, max_shipped):
+    odd = spark.createDataFrame([(9, vector)], "id long, embedding array<float>")
+    fine = frame(spark, [1, 2], [[1, 0], [0, 1]], "id")
+    for corpus, queries in ((fine.unionByName(odd), fine), (fine, fine.unionByName(odd))):
+        with pytest.raises(Exception, match="null or empty"):
+            nearest.nearest(corpus, queries.withColumnRenamed("id", "query_id"), vec_id="id", max_shipped=max_shipped).collect()
+
+
+def test_blocks_move_few_copies_of_the_corpus(spark):
+    """A block is planned by what a task can hold, not by what can be shipped."""
+    corpus = frame(spark, range(400), [[i, 1] for i in range(400)], "vec_id")
+    queries = frame(spark, range(300), [[i, 0] for i in range(300)], "query_id")
+    found = nearest.nearest(corpus, queries, 1, max_shipped=10, chunk_rows=600)
+    assert sorted((r.query_id, r.vec_id) for r in found.collect()) == [(i, i) for i in range(300)]
+    assert nearest._cuts(300, 600) == 1 and nearest._cuts(400, 600) == 2
+    assert nearest._cuts(1_000_000, nearest.MAX_CHUNK_VALUES // 768) == 62
+
+
+def test_text_ids_and_small_corpus(spark):
+    corpus = frame(spark, ["b", "a"], [[1, 0], [1, 0]], "vec_id", "string")
     found = nearest.nearest(corpus, frame(spark, ["q"], [[0, 0]], "query_id", "string"))
     assert rows(found.orderBy("position")) == [("q", "a", 1.0, 1), ("q", "b", 1.0, 2)]
 
@@ -255,3 +273,39 @@ def test_questions_are_answered_once(spark):
     df = spark.createDataFrame([("a ",), ("a",), ("",), (None,), (" \n",), ("b",)], "question string")
     found = assistant.distinct_questions(df)
     assert sorted(rows(found.select("question", "times_asked"))) == [("a", 2), ("b", 1)]
+
+
+# --- stored index ---
+
+
+def test_stored_index_answers_without_writing_texts_again(spark, sf_dir, folder):
+    tickets = adapters.conversation_tickets(spark, sf_dir)
+    churn = spark.createDataFrame([("CUST_00001", "high")], "property_id string, churn_risk_label string")
+    assistant.build_index(tickets, churn).save(folder + "/index")
+    index = assistant.DocumentIndex.load(spark, folder + "/index")
+    texts = index.documents.collect()
+    asked = spark.createDataFrame([("q", texts[3].page_content)], "query_id string, question string")
+    found = assistant.retrieve(index, asked, 1)
+    assert values(found, "ticket_id") == [texts[3].ticket_id]
+    assert "In(ticket_id" in plan(found) or "EqualTo(ticket_id" in plan(found)
+    wrote = []
+    original = storage.materialize
+    try:
+        storage.materialize = lambda df, name: wrote.append(name) or original(df, name)
+        assistant.retrieve(index, asked, 1).collect()
+    finally:
+        storage.materialize = original
+    assert wrote == ["hits"]
+
+
+def test_many_hits_read_a_range_of_ids(spark, folder, monkeypatch):
+    monkeypatch.setattr(evidence, "MAX_PUSHED_IDS", 2)
+    assistant.write_sorted(spark.range(100).selectExpr("id", "'t' AS page_content"), "id", folder + "/texts")
+    hits = spark.createDataFrame([(i,) for i in (40, 45, 50)], "id long")
+    found = evidence.attach_documents(hits, spark.read.parquet(folder + "/texts"), "id")
+    assert "GreaterThanOrEqual(id,40)" in plan(found) and sorted(values(found, "id")) == [40, 45, 50]
+
+
+def test_an_index_without_description_is_not_loaded(spark, folder):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        assistant.DocumentIndex.load(spark, folder)

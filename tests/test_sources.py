@@ -198,7 +198,7 @@ def test_jdbc_read_and_write_settings():
 # --- test-data views ---
 
 
-def test_conversation_ticket_takes_first_and_last_turns(spark):
+def test_every_turn_is_in_a_ticket(spark):
     turns = [
         (1, 0, "system", "s"), (1, 1, "user", "u1"), (1, 2, "assistant", "a1"), (1, 3, "user", "u2"),
         (1, 4, "assistant", "a2"), (2, 0, "user", "only"), (3, 0, "assistant", "a"),
@@ -207,8 +207,112 @@ def test_conversation_ticket_takes_first_and_last_turns(spark):
         spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
     )
     found = {r.ticket_id: (r.complaint_description, r.service_response, r.resolution_notes) for r in df.collect()}
-    assert found == {1: ("u1", "a1", "a2"), 2: ("only", None, None), 3: (None, "a", None)}
-    assert "partial_min" in plan(df)
+    one = adapters.TURNS
+    assert found == {
+        one + 2: ("u1", "a1", None), one + 4: ("u2", "a2", None), 2 * one + 1: ("only", None, None), 3 * one: (None, "a", None),
+    }
+
+
+def test_documents_hold_all_characters_of_user_and_assistant_turns(spark, sf_dir):
+    spoken = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role IN ('user', 'assistant')")
+    found = adapters.conversation_tickets(spark, sf_dir)
+    chars = found.agg(F.sum(F.coalesce(F.length("complaint_description"), F.lit(0)) + F.coalesce(F.length("service_response"), F.lit(0))))
+    assert chars.first()[0] == spoken.agg(F.sum(F.length("text"))).first()[0]
+    texts = documents.render(found.withColumn("churn_risk_label", F.lit("low"))).collect()
+    assert all(t.strip() in r.page_content for r in texts for t in (r.complaint_description, r.service_response) if t)
+
+
+# --- CSV by name ---
+
+
+def written(folder, text, name="f.csv"):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as file:
+        file.write(text)
+    return folder
+
+
+HEADER = "ticket_id,customer_id,customer_segment,sla_plan,initial_message,agent_first_reply,resolution_summary,customer_sentiment,issue_type,csat_score,resolution_time_hours"
+
+
+def test_columns_are_found_by_name(spark, folder):
+    written(folder, "csat_score,issue_type,city," + HEADER.removesuffix(",issue_type,csat_score,resolution_time_hours") + ",resolution_time_hours\n3,bug,Rome,7,CUST_00001,s,p,m,r,z,t,1.5\n")
+    row = csv_files.read_tickets(spark, folder).first().asDict()
+    assert (row["ticket_id"], row["customer_id"], row["issue_type"], row["csat_score"], row["city"]) == (7, "CUST_00001", "bug", 3, "Rome")
+    assert list(row) == [*csv_files.TICKET_SCHEMA.names, "city"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_bad_cells_fail_or_are_set_aside(spark, folder, multi_line):
+    written(folder, f"{HEADER}\n1,a,b,c,d,e,f,g,h,2,1.5\n2,a,b,c,d,e,f,g,h,x2,1.5\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|x2"):
+        csv_files.read_tickets(spark, folder, multi_line=multi_line).collect()
+    good, rejected = csv_files.split_rejects(csv_files.read_tickets(spark, folder, multi_line=multi_line, rejects=True))
+    assert values(good, "ticket_id") == [1]
+    assert "x2" in values(rejected, csv_files.REJECTED)[0]
+
+
+def test_missing_column_fails(spark, folder):
+    written(folder, HEADER.replace(",issue_type", "") + "\n")
+    with pytest.raises(ValueError, match="issue_type"):
+        csv_files.read_tickets(spark, folder)
+
+
+def test_files_of_another_layout_fail(spark, folder):
+    written(folder, f"{HEADER}\n1,a,b,c,d,e,f,g,h,2,1.5\n", "a.csv")
+    written(folder, ",".join(reversed(HEADER.split(","))) + "\n1.5,2,h,g,f,e,d,c,b,a,2\n", "b.csv")
+    with pytest.raises(Exception, match="header|CSV"):
+        csv_files.read_tickets(spark, folder).collect()
+
+
+def test_export_is_read_by_name_and_split_if_asked(spark, folder):
+    written(folder, "churn_risk_label,extra,property_id,complaint_description,service_response,resolution_notes,service_category\nhigh,x,p,c,s,r,k\n")
+    for multi_line in (True, False):
+        assert rows(csv_files.read_rag(spark, folder, ["property_id", "churn_risk_label"], multi_line=multi_line)) == [("p", "high")]
+
+
+def test_files_sort_by_their_numbers(spark, folder):
+    head = ",".join(csv_files.RAG_SCHEMA.names)
+    for part, chunk in ((100000, 0), (99999, 1000), (99999, 999)):
+        written(folder, f"{head}\n{part}-{chunk},c,s,r,k,l\n", f"part-{part:05}-ab12-c{chunk:03}.csv")
+    back = csv_files.read_rag_in_order(spark, folder).orderBy("ingest_order")
+    assert values(back, "property_id") == ["99999-999", "99999-1000", "100000-0"]
+
+
+# --- scratch storage ---
+
+
+def test_a_plans_scratch_goes_with_it(spark, tmp_path):
+    outside = storage.new_location(spark, "stays")
+    spark.range(1).write.parquet(outside)
+    with storage.scratch(spark):
+        inside = storage.new_location(spark, "goes")
+        storage.materialize(spark.range(1), "goes too")
+        spark.range(1).write.parquet(inside)
+        assert os.path.exists(inside)
+    assert not os.path.exists(os.path.dirname(inside)) and os.path.exists(outside)
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077"])
+def test_machine_folders_are_refused_on_a_cluster(spark, master):
+    class Cluster(Session):
+        def __init__(self, folder):
+            super().__init__(folder)
+            self.master = master
+            self._jvm, self._jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    with pytest.raises(ValueError, match="folder of each machine"):
+        storage.shared_folder(Cluster("/tmp/own"))
+    with pytest.raises(ValueError, match="folder that all executors share"):
+        storage.shared_folder(Cluster(None))
+    assert storage.shared_folder(Cluster("file:///mounted")) == "file:///mounted"
+
+
+def test_tables_with_files_here_are_dropped(spark):
+    tables.write_table(spark.range(1), "kept_elsewhere")
+    tables.write_table(spark.range(1), "passing_table", storage.new_location(spark, "passing"))
+    storage.drop_tables(spark)
+    assert spark.catalog.tableExists("kept_elsewhere") and not spark.catalog.tableExists("passing_table")
 
 
 def test_ids_beyond_five_digits_keep_all_digits(spark):
