@@ -111,7 +111,7 @@ class Winnowed:
 
 
 def fingerprints(docs: DataFrame, run_words: int, gram_words: int, with_windows: bool) -> DataFrame:
-    """A row per selected gram and place: ``gram``, and with windows ``doc_id``, ``first`` and ``hashes`` of the windows from there on."""
+    """A row per selected gram and place: ``gram``, and with windows ``doc_id``, ``copy``, ``first`` and ``hashes`` of the windows from there on."""
 
     def run(batches):
         for batch in batches:
@@ -126,28 +126,33 @@ def fingerprints(docs: DataFrame, run_words: int, gram_words: int, with_windows:
                 ends = np.cumsum([0, *(len(f.hashes) for f in found)])
                 offsets = np.concatenate([*(f.firsts + e for f, e in zip(found, ends)), ends[-1:]]).astype(np.int32)
                 hashes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([f.hashes for f in found])))
-                ids = part.column("doc_id").take(pa.array(np.repeat(np.arange(len(found)), counts)))
+                of_row = pa.array(np.repeat(np.arange(len(found)), counts))
+                ids, copies = part.column("doc_id").take(of_row), part.column("copy").take(of_row)
                 firsts = pa.array(np.concatenate([f.firsts for f in found]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([grams, ids, firsts, hashes], ["gram", "doc_id", "first", "hashes"])
+                yield pa.RecordBatch.from_arrays([grams, ids, copies, firsts, hashes], ["gram", "doc_id", "copy", "first", "hashes"])
 
-    return docs.mapInArrow(run, "gram long" + ", doc_id long, first int, hashes array<long>" * with_windows)
+    return docs.mapInArrow(run, "gram long" + ", doc_id long, copy long, first int, hashes array<long>" * with_windows)
 
 
 def repeated_windows(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """Windows whose lines also stand at an earlier place: ``doc_id`` and ``starts``, the numbers of their first lines."""
+    """Windows whose lines also stand at an earlier place: ``doc_id``, ``copy`` and ``starts``, the numbers of their first lines.
+
+    ``docs`` has ``doc_id``, ``text`` and its hash as ``copy``, which tells the texts of a repeated or null id apart.
+    """
     grams = fingerprints(docs, run_words, gram_words, with_windows=False)
     common = materialize(grams.groupBy("gram").count().where("count > 1").select("gram"), "repeated-grams")
     windows = materialize(
         fingerprints(docs, run_words, gram_words, with_windows=True)
         .join(common, "gram", "left_semi")
-        .select("doc_id", "first", F.posexplode("hashes").alias("number", "hash"))
-        .select("doc_id", (F.col("first") + F.col("number")).alias("start"), "hash"),
+        .select("doc_id", "copy", "first", F.posexplode("hashes").alias("number", "hash"))
+        .select("doc_id", "copy", (F.col("first") + F.col("number")).alias("start"), "hash"),
         "windows",
     )
-    places = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+    place = F.struct("doc_id", "copy", "start")
+    places = windows.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = materialize(places.where("n > 1").select("hash", "first"), "first-places")
-    later = windows.join(first, "hash").where(F.struct("doc_id", "start") > F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    later = windows.join(first, "hash").where(place > F.col("first"))
+    return later.groupBy("doc_id", "copy").agg(F.collect_set("start").alias("starts"))
 
 
 def without(text: str, starts: Iterable[int], run_words: int = RUN_WORDS) -> tuple[str, int]:
@@ -175,14 +180,16 @@ def clean(df: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORD
     ``df`` has ``doc_id`` and ``text``. Lines match without regard to case and
     outer white space; blank lines are passed over. A passage stays at its
     first place, so a whole copy of an earlier text loses all its lines and is
-    left with an empty text. Rows that repeat an id count as one document:
-    they don't lose lines to each other. Null text stays null, a null id comes
-    before all others, and texts under ``run_words`` words are never cut. A
+    left with an empty text. Rows that repeat an id and a text are one
+    document: they don't lose lines to each other. Different texts of an id go
+    in the order of their hashes, a null id comes before all others, null text
+    stays null, and texts under ``run_words`` words are never cut. A
     column of ``df`` named ``removed_lines`` is replaced.
     """
-    windows = repeated_windows(documents(df), run_words, gram_words)
-    windows = windows.select(F.col("doc_id").alias("__line_id"), F.col("starts").alias("__line_starts"))
-    joined = df.drop("removed_lines").join(windows, df["doc_id"].cast("long").eqNullSafe(F.col("__line_id")), "left")
+    windows = repeated_windows(documents(df).withColumn("copy", F.xxhash64("text")), run_words, gram_words)
+    windows = windows.toDF("__line_id", "__line_copy", "__line_starts")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__line_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__line_copy"))
+    joined = df.drop("removed_lines").join(windows, same, "left")
 
     @F.pandas_udf("text string, removed int")
     def cut(text: pd.Series, starts: pd.Series) -> pd.DataFrame:

@@ -79,6 +79,15 @@ def test_odd_rows(docs):
     assert clean(docs([])).collect() == []
 
 
+def test_texts_of_one_id_are_told_apart(docs):
+    text = "\n".join(f"line {i} of a text that is long enough" for i in range(20))
+    other = "\n".join(f"another line {i} that only starts like this" for i in range(20))
+    mixed = "\n".join([other, text])
+    for i in (None, 4):
+        found = sorted(r.text for r in clean(docs([(i, other), (i, other), (3, text), (i, mixed)])).collect())
+        assert sorted(set("\n".join(found).split("\n")) - {""}) == sorted({*text.split("\n"), *other.split("\n")})
+
+
 def test_a_repeated_id_alone_stays(docs):
     text = "\n".join(f"line {i} of a text that is long enough" for i in range(20))
     assert [r.text for r in clean(docs([(5, text), (5, text)])).collect()] == [text, text]
