@@ -154,8 +154,17 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_rows(docs, start, "doc_id long, words_digest binary, keys array<long>", fields)
 
 
+def once_per_id(df: DataFrame) -> DataFrame:
+    """One row of each ``doc_id``. After a join by id, rows are dealt and sorted for this already."""
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
+    return df.withColumn("__number", number).where("__number = 1").drop("__number")
+
+
 def hashed_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id`` and ``words`` of the documents named in ``wanted``."""
+    """``doc_id`` and ``words`` of the documents named in ``wanted``.
+
+    The hint keeps the plan the same at every size: names grow with the input.
+    """
 
     def start():
         def run(rows):
@@ -164,14 +173,12 @@ def hashed_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return run
 
-    chosen = docs.join(wanted, "doc_id", "left_semi")
+    chosen = once_per_id(docs.join(wanted.hint("merge"), "doc_id", "left_semi"))
     return map_rows(chosen, start, "doc_id long, words binary", [("doc_id", pa.int64()), ("words", pa.binary())], 256)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) that are similar enough."""
-    named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    words = materialize(hashed_words(docs, named).dropDuplicates(["doc_id"]), "words")
     sides = pairs.join(words.select(F.col("doc_id").alias("a"), F.col("words").alias("words_a")), "a").join(
         words.select(F.col("doc_id").alias("b"), F.col("words").alias("words_b")), "b"
     )
@@ -180,7 +187,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         def run(rows):
             last = None, None
             for a, b, words_a, words_b in rows:
-                if last[0] != words_b:  # rows come sorted by b
+                if last[0] != words_b:  # rows of one leader mostly come together
                     last = words_b, shingles(words_b)
                 if similarity(shingles(words_a), last[1]) >= SIMILARITY:
                     yield a, b
@@ -213,21 +220,31 @@ def classes_of(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "class_id")
 
 
-def stars(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (``a`` > ``b``) of each key's leader with its members of other classes than the leader's.
+def drawn_stars(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (``a`` > ``b``) of a leader, drawn by hash for each key, with the key's members of other classes than its own.
 
-    ``members`` holds ``key``, ``doc_id`` and ``class_id``. The least id leads
-    on the first turn, one drawn by hash on any other.
+    ``members`` holds ``key``, ``doc_id`` and ``class_id``.
     """
-    order = F.col("doc_id") if turn == 0 else F.xxhash64(F.lit(turn), "key", "doc_id")
-    leaders = members.groupBy("key").agg(
-        F.min_by("doc_id", order).alias("leader"), F.min_by("class_id", order).alias("leads"), F.min("class_id").alias("low"), F.max("class_id").alias("high")
-    )
-    leaders = materialize(leaders.where("low < high").select("key", "leader", "leads"), "leaders")
-    met = members.join(leaders, "key").where("class_id <> leads")
+    order = F.xxhash64(F.lit(turn), "key", "doc_id")
+    leaders = members.groupBy("key").agg(F.min_by("doc_id", order).alias("leader"), F.min_by("class_id", order).alias("leads"))
+    met = members.join(materialize(leaders, "leaders"), "key").where("class_id <> leads")
     return met.select(F.greatest("doc_id", "leader").alias("a"), F.least("doc_id", "leader").alias("b")).distinct()
 
 
+def unresolved(members: DataFrame, labels: DataFrame, sketched: DataFrame, turn: int) -> DataFrame:
+    """Members (``doc_id``, ``band``, ``key``) of keys whose texts are in several classes, with their ``class_id``.
+
+    From the second turn on each key is refined by that of a further band.
+    """
+    placed = members.select("doc_id", "band", "key").join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    several = placed.groupBy("key").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
+    left = placed.join(materialize(several.select("key"), "mixed-keys"), "key", "left_semi")
+    if turn > 1:
+        further = F.get("keys", (F.col("band") + (turn - 1)) % BANDS)
+        left = left.join(sketched, "doc_id").select("doc_id", "band", F.xxhash64("key", further).alias("key"), "class_id")
+    return materialize(left, "unresolved")
+
+
 def classes(df: DataFrame) -> DataFrame:
     """One row per row of ``df``: ``doc_id``, ``class_id`` (the least id of its class) and ``class_size`` in rows.
 
@@ -235,50 +252,46 @@ def classes(df: DataFrame) -> DataFrame:
     counts as empty. Texts of equal words are one class whatever their length;
     texts without words are alike only if identical, empty ones among them. A
     text of under five words is a single shingle, so it is alike only to equal
-    words. Rows that repeat an id should repeat its text: they go by the class
-    of that id. A null id is no class's name and its row is a class of its own
+    words. Rows that repeat an id go by one class, the least that one of them
+    is in. A null id is no class's name and its row is a class of its own
     with a null ``class_id``. Long texts are sketched and aligned whole.
     """
     docs = documents(df)
     known = docs.where("doc_id IS NOT NULL")
     sketched = materialize(sketches(known), "sketches")
     equal = materialize(sketched.groupBy("words_digest").agg(F.min("doc_id").alias("first")), "equal-words")
-    by_words = materialize(sketched.select("doc_id", "words_digest").join(equal, "words_digest").select("doc_id", "first").distinct(), "firsts")
+    by_words = materialize(sketched.select("doc_id", "words_digest").join(equal, "words_digest").select("doc_id", "first"), "firsts")
     firsts = materialize(
         sketched.join(equal.withColumnRenamed("first", "doc_id"), ["words_digest", "doc_id"], "left_semi")
         .where(F.size("keys") > 0).dropDuplicates(["doc_id"]).select("doc_id", "keys"),
         "first-sketches",
     )
-    alone = firsts.select("doc_id", "keys", F.posexplode("keys").alias("band", "key"))
-    members = alone.select("doc_id", "keys", "band", F.xxhash64("band", "key").alias("key"), F.col("doc_id").alias("class_id"))
-    tried = materialize(stars(members, 0), "pairs")
-    links = materialize(verified(tried, known), "verified")
+    alone = firsts.select("doc_id", F.posexplode("keys").alias("band", "key")).withColumn("key", F.xxhash64("band", "key"))
+    leaders = alone.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
+    members = materialize(alone.join(materialize(leaders.select("key", "leader"), "leaders"), "key"), "members")
+    tried = members.where("doc_id > leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
+    tried = materialize(tried, "pairs")
+    # Whatever is compared later shares a key, so it is in these pairs.
+    named = tried.select(F.col("a").alias("doc_id")).union(tried.select("b")).distinct()
+    words = materialize(hashed_words(known, named), "words")
+    links = materialize(verified(tried, words), "verified")
     labels = classes_of(links)
     for turn in range(1, ROUNDS + 1):
-        members = _unresolved(members, labels, turn)
-        pairs = materialize(stars(members, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(verified(pairs, known), "verified")
+        members = unresolved(members, labels, firsts, turn)
+        pairs = materialize(drawn_stars(members, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = materialize(verified(pairs, words), "verified")
         if not found.isEmpty():
             links = materialize(links.union(found), "all-verified")
             labels = classes_of(links)
         tried = materialize(tried.union(pairs), "tried")
     named = by_words.join(labels.withColumnRenamed("doc_id", "first"), "first", "left")
-    named = materialize(named.select("doc_id", F.coalesce("class_id", "first").alias("class_id")), "classes")
+    named = materialize(named.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "first")).alias("class_id")), "classes")
     ids = docs.select("doc_id").join(named, "doc_id", "left")
     sizes = materialize(ids.groupBy("class_id").agg(F.count("*").alias("class_size")), "class-sizes")
     whole = ids.join(sizes, "class_id", "left")
     return whole.select("doc_id", "class_id", F.coalesce(F.when(F.col("class_id").isNotNull(), F.col("class_size")), F.lit(1)).alias("class_size"))
 
 
-def _unresolved(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Members of keys whose texts are in several classes; from the second turn on by the key refined by a further band."""
-    placed = members.drop("class_id").join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    several = placed.groupBy("key").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
-    left = placed.join(materialize(several.select("key"), "mixed-keys"), "key", "left_semi")
-    key = F.col("key") if turn == 1 else F.xxhash64("key", F.get("keys", (F.col("band") + (turn - 1)) % BANDS))
-    return materialize(left.select("doc_id", "keys", "band", key.alias("key"), "class_id"), "unresolved")
-
-
 def representatives(df: DataFrame) -> DataFrame:
     """The rows of ``df``, with all their columns, that stay: the least id of each class.
 
@@ -286,7 +299,4 @@ def representatives(df: DataFrame) -> DataFrame:
     """
     first = classes(df).where("doc_id = class_id").select(F.col("doc_id").alias("__near_id")).distinct()
     kept = df.join(materialize(first, "representatives"), F.col("doc_id").cast("long") == F.col("__near_id"), "left_semi")
-    # The join has dealt and sorted the rows by id already.
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    once = kept.withColumn("__near_number", number).where("__near_number = 1").drop("__near_number")
-    return once.unionByName(df.where("doc_id IS NULL"))
+    return once_per_id(kept).unionByName(df.where("doc_id IS NULL"))
