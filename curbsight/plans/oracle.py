@@ -432,6 +432,9 @@ _BASE = """SELECT property_id, property_name, property_type, service_category, c
 
 _SEARCH_LABELS = ", ".join(_text(r) for r in SEARCH_RISKS)
 
+_SHOWN = f"""churn_risk_label IN ({_SEARCH_LABELS})
+    AND contains(lower(property_name), lower({_text(SEARCH_TEXT)}))"""
+
 SELECTS = {
     "bronze_csv_scan": "SELECT * FROM tickets",
     "bronze_table_roundtrip": "SELECT * FROM tickets",
@@ -527,14 +530,16 @@ SELECTS = {
         contract_value, strftime(renewal_date, '%Y-%m-%d') AS renewal_date FROM churn""",
     "dash_health": "SELECT * REPLACE (round(avg_csat, 6) AS avg_csat) FROM health_sums",
     "dash_filtered": f"SELECT * FROM churn WHERE churn_risk_label IN ({_SEARCH_LABELS})",
-    "dash_name_search": f"""SELECT * FROM churn WHERE churn_risk_label IN ({_SEARCH_LABELS})
-        AND contains(lower(property_name), lower({_text(SEARCH_TEXT)}))""",
+    "dash_name_search": f"SELECT * FROM churn WHERE {_SHOWN}",
     "dash_risk_distribution": "SELECT churn_risk_label, count(*) AS count FROM churn GROUP BY churn_risk_label",
     "dash_category_bars": "SELECT service_category, total_complaints FROM service_sums",
     "dash_scatter": """SELECT missed_pickups_30d, avg_csat, contract_value, churn_risk_label, property_name
         FROM churn""",
     "dash_missed_series": "SELECT property_name, missed_pickups_30d FROM churn",
     "dash_leaderboard": _LEADERBOARD,
+    "dash_leaderboard_filtered": f"{_LEADERBOARD} WHERE {_SHOWN}",
+    "dash_scatter_filtered": f"""SELECT missed_pickups_30d, avg_csat, contract_value, churn_risk_label, property_name
+        FROM churn WHERE {_SHOWN}""",
     "fallback_property_name": f"""SELECT property_id, {_FALLBACK_NAME} AS property_name
         FROM (SELECT property_id, {_ID_DIGITS} AS d FROM ids)""",
     "fallback_property_type": f"""SELECT *, {_fallback_type('property_name')} AS property_type FROM (

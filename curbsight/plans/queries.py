@@ -303,6 +303,11 @@ def dash_health(spark, sf):
     return _rounded(reports.health_rollup(_health(spark, sf)), "avg_csat")
 
 
+def _shown(spark: SparkSession, sf: str) -> DataFrame:
+    """The part of the portfolio that a user has filtered."""
+    return dashboard.filter_portfolio(_churn(spark, sf), SEARCH_RISKS, SEARCH_TEXT)
+
+
 # --- derived without gold ---
 
 
@@ -541,6 +546,8 @@ QUERIES: dict[str, Query] = {
     "dash_risk_distribution": _on(_churn, dashboard.risk_distribution),
     "dash_category_bars": _on(_rollup, dashboard.category_bars),
     "dash_scatter": _on(_churn, dashboard.scatter),
+    "dash_scatter_filtered": _on(_shown, dashboard.scatter),
+    "dash_leaderboard_filtered": _on(_shown, dashboard.leaderboard),
     "dash_missed_series": _on(_churn, dashboard.missed_series),
     "dash_leaderboard": _on(_churn, dashboard.leaderboard),
     "fallback_property_name": fallback_property_name,

@@ -308,8 +308,8 @@ def test_machine_folders_are_refused_on_a_cluster(spark, master):
     assert storage.shared_folder(Cluster("file:///mounted")) == "file:///mounted"
 
 
-def test_tables_with_files_here_are_dropped(spark):
-    tables.write_table(spark.range(1), "kept_elsewhere")
+def test_tables_with_files_here_are_dropped(spark, folder):
+    tables.write_table(spark.range(1), "kept_elsewhere", folder + "/kept")
     tables.write_table(spark.range(1), "passing_table", storage.new_location(spark, "passing"))
     storage.drop_tables(spark)
     assert spark.catalog.tableExists("kept_elsewhere") and not spark.catalog.tableExists("passing_table")
