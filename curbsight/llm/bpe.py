@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from curbsight.llm.common import Memo, blocks, documents, map_rows
 
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 400_000
 BLOCK_CHARS = 4_000_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: how byte-level vocabularies split text before merging.
