@@ -42,6 +42,7 @@ SIMILARITY = 0.8
 TUPLES = [4] * 18 + [2] * 6
 BANDS = len(TUPLES)
 ROUNDS = 3
+DRAWS = 4
 RUNS_KEPT = 250_000
 BLOCK_CHARS = 2_000_000
 _WORD = re.compile(r"[^\W_]+")
@@ -223,9 +224,11 @@ def classes_of(links: DataFrame) -> DataFrame:
 def drawn_stars(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (``a`` > ``b``) of a leader, drawn by hash for each key, with the key's members of other classes than its own.
 
-    ``members`` holds ``key``, ``doc_id`` and ``class_id``.
+    ``members`` holds ``key``, ``doc_id`` and ``class_id``. Keys draw in DRAWS
+    different orders, so a group that shares many keys meets that many leaders
+    in a round, not one per key.
     """
-    order = F.xxhash64(F.lit(turn), "key", "doc_id")
+    order = F.xxhash64(F.lit(turn), F.pmod("key", F.lit(DRAWS)), "doc_id")
     leaders = members.groupBy("key").agg(F.min_by("doc_id", order).alias("leader"), F.min_by("class_id", order).alias("leads"))
     met = members.join(materialize(leaders, "leaders"), "key").where("class_id <> leads")
     return met.select(F.greatest("doc_id", "leader").alias("a"), F.least("doc_id", "leader").alias("b")).distinct()
