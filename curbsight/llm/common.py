@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,23 @@ from pyspark.sql import functions as F
 Rows = Iterable[tuple]
 
 
+def importable(spark: SparkSession) -> None:
+    """Have Python workers find this package where the driver has it, if nothing else was set.
+
+    That serves local sessions started in any folder; a cluster gets the
+    package by ``--py-files`` or an installed copy, which come first.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just ``doc_id`` and ``text``; null text counts as empty, other columns stay behind."""
+    importable(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
 
 
@@ -56,7 +68,8 @@ class Memo:
     """What ``compute`` gives for keys, remembered in ``known`` up to a bounded number of them.
 
     Kept per worker process, so tasks that run there later find it filled.
-    Only speed depends on it: when it is full it starts anew.
+    Only speed depends on it: when it is full, it forgets all but what is asked
+    for just then, frequent keys among it.
     """
 
     def __init__(self, compute: Callable[[list[str]], Iterable], limit: int):
@@ -65,9 +78,10 @@ class Memo:
 
     def learn(self, lists: list[list[str]]) -> None:
         """Have all keys of these lists in ``known``."""
+        asked = set().union(*lists)
         if len(self.known) > self._limit:
-            self.known.clear()
-        if new := list(set().union(*lists).difference(self.known)):
+            self.known = {k: self.known[k] for k in asked if k in self.known}
+        if new := list(asked.difference(self.known)):
             self.known.update(zip(new, self._compute(new)))
 
     def joined(self, lists: list[list[str]]) -> list[bytes]:
