@@ -16,6 +16,14 @@ are compared with it. That is done ROUNDS times; from the second on the key is
 joined with those of the next bands, so texts that only share a passage part
 ways and meet those they resemble.
 
+Texts of keys that are mixed even then are finished by an exact join, whose
+candidates don't depend on keys or leaders. Each text's shingles are ranked by
+how many of these texts have them, rarest first; two texts of 0.8 or more have
+one in common among the first ninth of the shorter one's and the first fifth
+of the longer one's. Texts that have such a shingle in common are compared in blocks,
+by sizes, ranks and parities of their shingles; what these can't rule out is
+aligned.
+
 A pair is verified by aligning the labelled shingles of both texts within the
 band of shifts that the threshold allows. Its similarity is aligned shingles
 over all shingles of both: 0.8 or more links.
@@ -26,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
@@ -45,6 +54,8 @@ ROUNDS = 3
 DRAWS = 4
 RUNS_KEPT = 250_000
 BLOCK_CHARS = 2_000_000
+PARITY_BITS = 2048
+CELL = 4096
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.random.default_rng(20).integers(1, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(21).integers(1, 2**63, BANDS, dtype=np.uint64)
@@ -248,6 +259,99 @@ def unresolved(members: DataFrame, labels: DataFrame, sketched: DataFrame, turn:
     return materialize(left, "unresolved")
 
 
+def parities(labelled: np.ndarray) -> bytes:
+    """A bit per hash value of shingles: whether an odd number of them has it. Two texts differ in as many shingles as bits, or more."""
+    if len(labelled) > PARITY_BITS:  # nearly random bits tell nothing
+        return b""
+    return np.packbits(np.bincount((labelled % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+
+
+def rare_shingles(placed: DataFrame, words: DataFrame) -> DataFrame:
+    """Of each text its rarest shingles: ``shingle``, ``doc_id``, ``class_id``, ``size``, ``at``, ``short`` and ``bits``.
+
+    ``placed`` has ``doc_id`` and ``class_id``. A text's shingles are ordered
+    by the number of texts that have them; those of one class only come first
+    and are left out, since they can't be common to two classes. ``at`` is the
+    place in that order. Of the shingles that two similar texts share, the
+    first one has at most ``size - ceil(SIMILARITY * size)`` before it in the
+    longer text, and in the shorter one, which must share more of its own, few
+    enough to be ``short``.
+    """
+
+    def start():
+        def run(rows):
+            for doc_id, class_id, own in rows:
+                labelled = shingles(own)
+                yield doc_id, class_id, labelled.view(np.int64).tolist(), parities(labelled)
+
+        return run
+
+    fields = [("doc_id", pa.int64()), ("class_id", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.binary())]
+    chosen = words.join(placed, "doc_id").select("doc_id", "class_id", "words")
+    listed = materialize(map_rows(chosen, start, "doc_id long, class_id long, shingles array<long>, bits binary", fields, 256), "shingles")
+    each = listed.select("doc_id", "class_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
+    met = each.join(materialize(common.select("shingle", "n"), "common-shingles"), "shingle")
+    ranked = met.groupBy("doc_id", "class_id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    first = F.col("size") - F.size("ranked")
+    before = lambda share: F.col("size") - F.ceil(F.col("size") * share - 1e-9)
+    near = ranked.withColumn("first", first).withColumn("ranked", F.slice("ranked", 1, F.greatest(F.lit(0), before(SIMILARITY) - first + 1).cast("int")))
+    at = near.select("doc_id", "class_id", "size", F.posexplode("ranked").alias("number", "r"), "first").withColumn("at", F.col("first") + F.col("number"))
+    short = F.col("at") <= before(2 * SIMILARITY / (1 + SIMILARITY))
+    found = at.select("r.shingle", "doc_id", "class_id", "size", "at", short.alias("short"))
+    return found.join(listed.select("doc_id", "bits"), "doc_id").select("shingle", "doc_id", "class_id", "size", "at", "short", "bits")
+
+
+def possible_pairs(cell: list[tuple], across: bool) -> Iterator[tuple[int, int]]:
+    """Pairs (``a`` > ``b``) of a cell's texts that are of different classes, and blocks if ``across``, and may reach SIMILARITY.
+
+    Their sizes, the shingles after the common one and their parities must allow it.
+    """
+    cell = sorted(cell, key=lambda e: (e[3], e[1]))
+    ids, own, size, at, short, block = (np.array([e[k] for e in cell]) for k in (1, 2, 3, 4, 5, 7))
+    known = np.array([len(e[6]) > 0 for e in cell])
+    bits = np.frombuffer(b"".join(e[6] or bytes(PARITY_BITS // 8) for e in cell), "<u8").reshape(len(cell), -1)
+    last = np.searchsorted(size, size / SIMILARITY + 1e-6, "right")
+    for x in np.flatnonzero(short):
+        y = np.arange(x + 1, last[x])
+        need = (size[x] + size[y]) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+        ok = (own[y] != own[x]) & (np.minimum(size[x] - at[x], size[y] - at[y]) >= need)
+        if across:
+            ok &= block[y] != block[x]
+        y, need = y[ok], need[ok]
+        if len(y) and known[x]:
+            apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            y = y[~known[y] | (apart <= size[x] + size[y] - 2 * need)]
+        for other in ids[y].tolist():
+            yield max(int(ids[x]), other), min(int(ids[x]), other)
+
+
+def pairs_of_several_classes(placed: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (``a`` > ``b``) of texts of different classes, all those of SIMILARITY and more among them.
+
+    Texts that have a rare shingle meet in cells of two blocks, so a task
+    holds CELL texts whatever their number, and only pairs that pass are rows.
+    """
+    rare = rare_shingles(placed, words)
+    by_class = Window.partitionBy("shingle").orderBy("class_id", "doc_id")
+    whole = Window.partitionBy("shingle")
+    blocked = rare.withColumn("block", F.floor((F.row_number().over(by_class) - 1) / (CELL // 2)).cast("int"))
+    blocked = blocked.withColumn("last", F.max("block").over(whole)).withColumn("low", F.min("class_id").over(whole)).withColumn("high", F.max("class_id").over(whole))
+    dealt = blocked.where("low < high").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    columns = ["shingle", "doc_id", "class_id", "size", "at", "short", "bits", "block", "i", "j"]
+    cells = dealt.select(columns).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+
+    def start():
+        def run(rows):
+            for (_, i, j), cell in groupby(rows, lambda r: (r[0], r[8], r[9])):
+                yield from possible_pairs(list(cell), i != j)
+
+        return run
+
+    return map_rows(cells, start, "a long, b long", [("a", pa.int64()), ("b", pa.int64())]).distinct()
+
+
 def classes(df: DataFrame) -> DataFrame:
     """One row per row of ``df``: ``doc_id``, ``class_id`` (the least id of its class) and ``class_size`` in rows.
 
@@ -279,6 +383,7 @@ def classes(df: DataFrame) -> DataFrame:
     words = materialize(hashed_words(known, named), "words")
     links = materialize(verified(tried, words), "verified")
     labels = classes_of(links)
+    starred = members
     for turn in range(1, ROUNDS + 1):
         members = unresolved(members, labels, firsts, turn)
         pairs = materialize(drawn_stars(members, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
@@ -287,6 +392,11 @@ def classes(df: DataFrame) -> DataFrame:
             links = materialize(links.union(found), "all-verified")
             labels = classes_of(links)
         tried = materialize(tried.union(pairs), "tried")
+    mixed_texts = unresolved(starred, labels, firsts, 1).select("doc_id", "class_id").distinct()
+    pairs = materialize(pairs_of_several_classes(materialize(mixed_texts, "mixed-texts"), words).join(tried, ["a", "b"], "left_anti"), "pairs")
+    found = materialize(verified(pairs, words), "verified")
+    if not found.isEmpty():
+        labels = classes_of(links.union(found))
     named = by_words.join(labels.withColumnRenamed("doc_id", "first"), "first", "left")
     named = materialize(named.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "first")).alias("class_id")), "classes")
     ids = docs.select("doc_id").join(named, "doc_id", "left")

@@ -158,3 +158,51 @@ def test_chain_is_one_class(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 99)], "a long, b long")
     found = {r.doc_id: r.class_id for r in near_dedup.classes_of(links).collect()}
     assert found == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+
+
+def test_pairs_of_one_template_family_all_meet(docs):
+    rng = random.Random(12)
+    fresh = (f"w{i}" for i in range(10**9))
+    template = [next(fresh) for _ in range(340)]
+    rows = []
+    for _ in range(1500):
+        both = list(template)
+        for at in rng.sample(range(0, 340, 5), 3):
+            both[at] = next(fresh)
+        for _ in range(2):
+            own = list(both)
+            for at in rng.sample(range(2, 340, 5), 3):
+                own[at] = next(fresh)
+            rows.append((len(rows), " ".join(own)))
+    # Words are only replaced by new ones, so shingles align only at their own place.
+    hashed = np.array([shingles(w) for w in word_hashes([text for _, text in rows])])
+    label = np.arange(len(rows))
+    for i, own in enumerate(hashed):
+        same = (hashed[i + 1 :] == own).sum(axis=1)
+        for j in i + 1 + np.flatnonzero(same >= 0.8 * (2 * len(own) - same) - 1e-9):
+            low, high = sorted((label[i], label[j]))
+            label[label == high] = low
+    assert (label[1::2] == label[::2]).all() and len(set(label)) > 1000
+    found = {r.doc_id: r.class_id for r in classes(docs(rows)).collect()}
+    assert found == dict(enumerate(label.tolist()))
+
+
+def test_prefix_pairs_are_all_pairs_of_enough_shared_shingles(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(15):
+        base = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(5, 60))]
+        for _ in range(6):
+            own = list(base)
+            for _ in range(rng.randint(0, 2)):
+                own[rng.randrange(len(own))] = rng.choice("xyz")
+            texts.append(" ".join(own))
+    hashed = word_hashes(texts)
+    parts = [set(shingles(w).tolist()) for w in hashed]
+    label = [rng.randrange(40) for _ in texts]
+    words = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(hashed)], "doc_id long, words binary")
+    placed = spark.createDataFrame(list(enumerate(label)), "doc_id long, class_id long")
+    found = {tuple(r) for r in near_dedup.pairs_of_several_classes(placed, words).collect()}
+    apart = {(a, b) for a in range(len(texts)) for b in range(a) if label[a] != label[b]}
+    alike = {(a, b) for a, b in apart if len(parts[a] & parts[b]) >= 0.8 * len(parts[a] | parts[b])}
+    assert alike and alike <= found <= apart
