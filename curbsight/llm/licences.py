@@ -1,22 +1,35 @@
 """Licence recognition by sentence rules.
 
 A text is split into sentences; each is normalised to its letters and digits
-in lower case. A sentence that some rule knows gets that rule's number for it.
-A rule is an ordered list of sentences and matches where its numbers follow
-one another in successive sentences. A match inside a longer one is not
-reported.
-
-Rules are a small literal table, so looking sentences up is a broadcast join
-inside the scan; only recognised sentences are ever shuffled.
+in lower case, so comment marks and bullets go. A line end splits too, but a
+rule's sentence may be wrapped: it is found over successive lines as long as
+neither punctuation nor a blank line stands between them. A rule is an ordered
+list of sentences and matches where these follow one another; list numbers
+between them are passed over. A match inside a longer one is not reported.
+
+Rules are a small literal table that goes to the tasks, which look sentences
+up by their first word; only recognised sentences are ever shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbsight.llm.common import documents, map_rows
+
 SENTENCE_END = r"[.!?:;]+(?:\s+|$)|\n+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+#: No sentence runs on over these: punctuation, and lines without letters or digits.
+_HARD_END = regex.compile(r"[.!?:;]+(?:[ \t\n\f\r]+|$)|\n[^\p{L}\p{N}]*\n")
+_NOT_WORD = regex.compile(NOT_WORD)
+_NUMBER = r"(?:[0-9]{1,3}|[a-h]|i{1,3}|iv|vi{0,3})"
+_LIST_NUMBER = regex.compile(_NUMBER)
+_LIST_MARK = regex.compile(rf"[^\p{{L}}\p{{N}}]*{_NUMBER}\)[ \t]+(?=[^\n]*[\p{{L}}\p{{N}}])")
 
 #: The sentences of known licences, in order.
 RULES: dict[str, list[str]] = {
@@ -56,24 +69,48 @@ def rule_rows(rules: dict[str, list[str]]) -> list[tuple[str, int, int, str]]:
     return [(name, at, len(own), sentence) for name, own in rules.items() for at, sentence in enumerate(own)]
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "))
+def normalised(sentence: str) -> str:
+    return _NOT_WORD.sub(" ", sentence.lower()).strip()
+
 
+def known_sentences(rules: dict[str, list[str]]) -> dict[str, dict[str, list[tuple[str, int, int, int]]]]:
+    """By first word, the rules' sentences, normalised like texts: (licence, place, number of sentences, words before) for each."""
+    known: dict[str, dict[str, list[tuple[str, int, int, int]]]] = {}
+    for name, own in rules.items():
+        before = 0
+        for at, sentence in enumerate(map(normalised, own)):
+            known.setdefault(sentence.partition(" ")[0], {}).setdefault(sentence, []).append((name, at, len(own), before))
+            before += sentence.count(" ") + 1
+    return known
 
-def sentences(df: DataFrame) -> DataFrame:
-    """``doc_id``, ``n`` (from 0) and ``sentence``, normalised; those without letters or digits don't count."""
-    found = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), SENTENCE_END), normalised), lambda s: s != "")
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(found).alias("n", "sentence"))
 
+def found_in(text: str, known: dict[str, dict[str, list[tuple[str, int, int, int]]]]) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """A row per known sentence in a text: ``licence``, ``place``, ``size``, ``origin``, and numbers of its first and last line or sentence.
 
-def known_sentences(spark: SparkSession, rules: dict[str, list[str]]) -> DataFrame:
-    """``licence``, ``place``, ``size``, ``sentence_id`` and ``sentence`` of the rules' sentences, split and normalised like texts."""
-    table = spark.createDataFrame(rule_rows(rules), "licence string, place int, size int, sentence string")
-    return table.select("licence", "place", "size", normalised(F.col("sentence")).alias("sentence")).withColumn("sentence_id", F.xxhash64("sentence"))
+    ``origin`` is the word at which the whole rule would begin, so sentences
+    that follow one another have the same. List numbers have no words.
+    """
+    number = words = 0
+    for part in _HARD_END.split(text.lower()):
+        mark = _LIST_MARK.match(part)
+        cut = [line for line in map(normalised, part[mark.end() if mark else 0 :].split("\n")) if line]
+        if len(cut) == 1 and _LIST_NUMBER.fullmatch(cut[0]) and cut[0] not in known.get(cut[0], ()):
+            number += 1
+            continue
+        for at, line in enumerate(cut):
+            for sentence, places in known.get(line.partition(" ")[0], {}).items():
+                end, run = at, line
+                while len(run) < len(sentence) and end + 1 < len(cut) and sentence.startswith(run + " "):
+                    end += 1
+                    run += " " + cut[end]
+                if run == sentence:
+                    yield from ((name, place, size, words - before, number + at, number + end) for name, place, size, before in places)
+            words += line.count(" ") + 1
+        number += len(cut)
 
 
 def recognise(df: DataFrame, rules: dict[str, list[str]] | None = None) -> DataFrame:
-    """A row per licence found: ``doc_id``, ``licence``, ``first``, ``last`` (sentence numbers) and ``times`` it stands there.
+    """A row per licence found: ``doc_id``, ``licence``, ``first``, ``last`` (numbers of sentences or lines) and ``times`` it stands there.
 
     Matches run over successive sentences; one that lies inside a longer match
     of the same document is left out. Rows that repeat an id raise ``times``.
@@ -81,13 +118,21 @@ def recognise(df: DataFrame, rules: dict[str, list[str]] | None = None) -> DataF
     matches in rows without an id come with a null id. Texts are read whole;
     columns other than ``doc_id`` and ``text`` play no part.
     """
-    rules = RULES if rules is None else rules
-    known = F.broadcast(known_sentences(df.sparkSession, rules))  # as long as the literal rules
-    hits = sentences(df).join(known, "sentence").select("doc_id", "licence", "place", "size", (F.col("n") - F.col("place")).alias("first"))
-    starts = hits.groupBy("doc_id", "licence", "first", "size").agg(F.count_distinct("place").alias("met"), F.count("*").alias("hits"))
-    matches = starts.where("met = size").select(
-        "doc_id", "licence", "first", (F.col("first") + F.col("size") - 1).alias("last"), F.floor(F.col("hits") / F.col("size")).alias("times")
+    known = known_sentences(RULES if rules is None else rules)
+
+    def start():
+        def run(rows):
+            for doc_id, text in rows:
+                yield from ((doc_id, *hit) for hit in found_in(text, known))
+
+        return run
+
+    fields = [("doc_id", pa.int64()), ("licence", pa.string()), *((c, pa.int32()) for c in ("place", "size", "origin", "first", "last"))]
+    hits = map_rows(documents(df), start, "doc_id long, licence string, place int, size int, origin int, first int, last int", fields)
+    starts = hits.groupBy("doc_id", "licence", "origin", "size").agg(
+        F.count_distinct("place").alias("met"), F.count("*").alias("hits"), F.min("first").alias("first"), F.max("last").alias("last")
     )
+    matches = starts.where("met = size").select("doc_id", "licence", "first", "last", F.floor(F.col("hits") / F.col("size")).alias("times"))
     # A document has few matches: they are compared as one short list.
     lists = matches.groupBy("doc_id").agg(F.collect_list(F.struct("licence", "first", "last", "times")).alias("all"))
     outer = F.filter(

@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import regex
 
@@ -51,3 +52,21 @@ def test_odd_rows(docs):
     found = {tuple(r) for r in recognise(docs(rows, "licence", "sentence", "first")).collect()}
     assert found == {(1, "Apache-2.0 notice", 0, 0, 2), (None, "Apache-2.0 notice", 0, 0, 1), (4, "Apache-2.0 notice", 1, 1, 1)}
     assert recognise(docs([])).collect() == []
+
+
+def test_wrapped_numbered_and_commented_texts(docs):
+    bsd = RULES["BSD-3-Clause"]
+    listed = {mark: "\n\n".join([bsd[0], *(mark.format(n) + s for n, s in enumerate(bsd[1:], 1))]) for mark in ("{}. ", "{}) ", "({}) ", "* ")}
+    texts = [(name, "A title\nCopyright (c) 2020 Some One\n" + " ".join(own)) for name, own in RULES.items()]
+    texts += [("BSD-3-Clause", text) for text in listed.values()]
+    wrapped = [(name, "\n".join(textwrap.fill(line, width) for line in text.split("\n"))) for name, text in texts for width in (40, 72, 80)]
+    commented = [(name, "/*\n" + "".join(f" * {line}\n" for line in text.split("\n")) + " */\nint x;") for name, text in wrapped]
+    rows = [(i, text) for i, (_, text) in enumerate(texts + wrapped + commented)]
+    found = {(r.doc_id, r.licence) for r in recognise(docs(rows)).collect()}
+    assert found == {(i, name) for i, (name, _) in enumerate(texts + wrapped + commented)}
+
+
+def test_a_blank_line_or_other_words_end_a_wrapped_sentence(docs):
+    rows = [(1, "One\n\ntwo."), (2, "One\nx two."), (3, "One two\nthree"), (4, "One\ntwo\nthree"), (5, "x one\ntwo")]
+    found = {tuple(r) for r in recognise(docs(rows), {"A": ["One two."]}).collect()}
+    assert found == {(3, "A", 0, 0, 1), (4, "A", 0, 1, 1)}
