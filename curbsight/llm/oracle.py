@@ -95,10 +95,50 @@ WHERE NOT EXISTS (
 )
 """
 
+
+
+def _vector_codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Rounds written out one after the other; a distance and its entry make one number, so the least of them is the nearest, first entry."""
+    steps = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor(4096 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, p, x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS x FROM kept, range({parts}) AS t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM cut QUALIFY e < {entries}
+)"""
+    for k in range(rounds + 1):
+        steps += f""", near{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(label) AS label, p, any_value(x) AS x,
+         min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT * {entries} + e) AS best
+  FROM cut JOIN book{k} USING (p) GROUP BY vec_id, p
+)"""
+        if k < rounds:
+            steps += f""", sums{k} AS (
+  SELECT p, best % {entries} AS e, i, sum(x[i]) AS s, count(*) AS n FROM near{k}, generate_series(1, len(x)) AS g(i) GROUP BY p, best % {entries}, i
+), means{k} AS (
+  SELECT p, e, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY i) AS c FROM sums{k} GROUP BY p, e
+), book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m USING (p, e)
+)"""
+    return steps + f""", coded AS MATERIALIZED (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', (best % {entries})::INTEGER), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+VECTOR_CODES = _vector_codes()
+
 ORACLES: dict[str, str] = {
     "op1_chat_formatting": CHAT_TEXTS,
     "op2_exact_top_k": NEAREST_VECTORS,
     "op3_warc_fixity": DAMAGED_RECORDS,
     "op4_licence_scan": LICENCES_FOUND,
     "op6_exact_dedup": EXACT_COPIES,
+    "op12_vector_codes": VECTOR_CODES,
 }

@@ -73,7 +73,8 @@ class WordTokenizer:
         self._tokenizer.no_padding()
         self._model = self._tokenizer.model
         self._letters = {b: ord(c) for b, c in byte_letters().items()}
-        self._as_bytes = [n.to_bytes(4, "little") for n in range(self._tokenizer.get_vocab_size())]
+        self.size = self._tokenizer.get_vocab_size()
+        self._as_bytes = [n.to_bytes(4, "little") for n in range(self.size)]
         self._words = regex.compile(WORDS)
         self._of_run, self._of_word = Memo(self._encode_runs, RUNS_KEPT), Memo(self._encode_words, RUNS_KEPT)
         # str.split() also parts at these four, which Unicode doesn't count as white space

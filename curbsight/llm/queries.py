@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import bpe, chat, exact_dedup, fixity, licences, line_dedup, near_dedup, packing, quality, top_k
+from curbsight.llm import bpe, chat, codes, exact_dedup, fixity, licences, line_dedup, mixture, near_dedup, packing, quality, top_k, whitening
 from curbsight.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,19 @@ def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def whitened_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
+def vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.encode(read(spark, sf, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def mixed_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """Every sequence has each source in its share of all tokens."""
+    return mixture.pack(read(spark, sf, "documents"), vocabulary(WORD_VOCABULARY))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": chat_texts,
     "op2_exact_top_k": nearest_vectors,
@@ -86,4 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": quality_scores,
     "op9_line_dedup": repeated_lines,
     "op10_bpe_round_trip": bpe_round_trip,
+    "op11_whitening": whitened_vectors,
+    "op12_vector_codes": vector_codes,
+    "op13_mixture_packing": mixed_sequences,
 }

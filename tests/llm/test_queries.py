@@ -20,9 +20,9 @@ def ordered(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def test_all_eleven_are_registered_once():
+def test_all_are_registered_once():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(ORACLES) <= set(contract.oracle_sql())
 
 
@@ -75,3 +75,17 @@ def test_sequences_of_all_documents(spark, sf_dir):
 
     rows = [(r.doc_id, r.text) for r in read(spark, sf_dir, "documents").collect()]
     check(rows, QUERIES["op7_best_fit_packing"](spark, sf_dir).collect())
+
+
+def test_mixed_sequences_of_all_documents(spark, sf_dir):
+    from llm.test_mixture import check
+
+    rows = [(r.doc_id, r.text, r.source) for r in read(spark, sf_dir, "documents").collect()]
+    check(rows, QUERIES["op13_mixture_packing"](spark, sf_dir).collect())
+
+
+def test_whitening_of_all_vectors(spark, sf_dir):
+    from llm.test_whitening import check
+
+    rows = [(r.vec_id, r.embedding) for r in read(spark, sf_dir, "embeddings").collect()]
+    check(rows, QUERIES["op11_whitening"](spark, sf_dir).collect())

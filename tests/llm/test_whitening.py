@@ -1,0 +1,110 @@
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from curbsight.llm import vectors, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def table(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA.replace("float", kind) + ", x string, n string")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**51) | st.integers(0, 9), min_size=3, max_size=3), min_size=1, max_size=70))
+def test_popcounts_are_products(rows):
+    y = np.array(rows, np.int64)
+    assert whitening.products(y).tolist() == (y.astype(object).T @ y.astype(object)).tolist()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(-(2**51), 2**51), min_size=2, max_size=2), min_size=1, max_size=40), st.integers(1, 7))
+def test_scatter_of_blocks(rows, size):
+    found = whitening.Scatter(2)
+    for at in range(0, len(rows), size):
+        found.add(np.array(rows[at : at + size], np.int64))
+    x = np.array(rows, object)
+    assert (found.n, found.sums.tolist(), found.cross.tolist()) == (len(rows), x.sum(axis=0).tolist(), (x.T @ x).tolist())
+
+
+def expected(rows):
+    """Exact covariance in fractions, then one decomposition."""
+    kept = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for _, v in kept], object)
+    n, sums = len(x), x.sum(axis=0)
+    exact = [[Fraction(int((x[:, i] * x[:, j]).sum()), n) - Fraction(int(sums[i] * sums[j]), n * n) for j in range(x.shape[1])] for i in range(x.shape[1])]
+    values, axes = np.linalg.eigh(np.array(exact, float))
+    return kept, x, n, sums, np.array(exact, float), values[::-1], axes[:, ::-1]
+
+
+def check(rows, found):
+    kept, x, n, sums, covariance, values, axes = expected(rows)
+    size = min(32, x.shape[1])
+    assert sorted((r.vec_id, r.component) for r in found) == sorted((i, c) for i, _ in kept for c in range(1, size + 1))
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.vec_id, {})[r.component] = r
+    assert {r.n for r in found} == {n} and len({r.identity_error for r in found}) == 1 and found[0].identity_error <= 1e-4
+    white = []
+    for (i, _), row in zip(kept, x):
+        own = by_id[i]
+        assert {r.deviation for r in own.values()} == {sum((n * int(c) - int(s)) ** 2 for c, s in zip(row, sums))}
+        white.append([own[c].whitened for c in range(1, size + 1)])
+        assert all(abs(own[c].explained - values[c - 1] / covariance.trace()) <= 1e-4 * values[c - 1] / covariance.trace() for c in own)
+    white = np.array(white)
+    plain = (np.array([[float(Fraction(int(c)) - Fraction(int(s), n)) for c, s in zip(row, sums)] for row in x]) @ axes[:, :size]) / np.sqrt(values[:size])
+    for c in range(size):
+        if min(abs(values[c] - v) for k, v in enumerate(values) if k != c) > 1e-6 * values[0]:
+            assert min(np.abs(white[:, c] - plain[:, c]).max(), np.abs(white[:, c] + plain[:, c]).max()) < 1e-6
+    assert np.abs(np.cov(white.T, bias=True) - np.eye(size)).max() < 1e-6
+
+
+@pytest.mark.parametrize("size", [2, 5, 40])
+def test_like_plain_arithmetic(spark, size):
+    rng = random.Random(size)
+    rows = [(i, [rng.gauss(d % 3, 1 + d) for d in range(size)]) for i in range(300)]
+    check(rows, whitening.whiten(table(spark, rows)).collect())
+
+
+def test_nulls_infinities_and_lengths(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.gauss(0, 1), rng.gauss(0, 2), rng.gauss(0, 3)]) for i in range(50)]
+    bad = [(100, None), (101, [1.0, None, 2.0]), (102, [math.nan, 0.0, 0.0]), (103, [math.inf, 0.0, 0.0]), (104, []), (105, [1.0, 2.0])]
+    check(rows, whitening.whiten(table(spark, rows + bad)).collect())
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(None, [1.0, 2.0]), (1, [3.0, -1.0]), (1, [3.0, -1.0]), (2, [0.5, 7.0])]
+    found = whitening.whiten(table(spark, rows)).collect()
+    assert len(found) == 8 and {r.n for r in found} == {4} and sum(r.vec_id is None for r in found) == 2
+    assert all(len({r.whitened for r in found if (r.vec_id, r.component) == (1, c)}) == 1 for c in (1, 2))
+
+
+def test_without_variance(spark):
+    found = whitening.whiten(table(spark, [(i, [1.5, float(i)]) for i in range(5)])).collect()
+    assert {(r.component, r.whitened is None, r.explained) for r in found} == {(1, False, 1.0), (2, True, 0.0)}
+    assert {r.deviation for r in found if r.vec_id == 2} == {0}
+    alone = whitening.whiten(table(spark, [(1, [1.0, 2.0])])).collect()
+    assert [(r.deviation, r.whitened, r.explained, r.identity_error) for r in alone] == [(0, None, 0.0, 0.0)] * 2
+
+
+def test_huge_components(spark):
+    rows = [(1, [1e300, 0.0]), (2, [-1e300, 1.0]), (3, [0.0, 2.0])]
+    found = whitening.whiten(table(spark, rows, "double")).collect()
+    assert len(found) == 6 and all(r.deviation is None for r in found if r.vec_id == 1)
+    assert all(math.isfinite(r.whitened) for r in found if r.component == 1)
+
+
+def test_most_frequent_length(spark):
+    rows = [(1, [1.0]), (2, [1.0, 2.0]), (3, [2.0, 1.0]), (4, [4.0])]
+    assert {r.vec_id for r in vectors.finite(table(spark, rows)).collect()} == {2, 3}
+
+
+def test_empty_table(spark):
+    assert whitening.whiten(table(spark, [])).collect() == []
