@@ -1,9 +1,8 @@
 """Best-fit packing of documents into sequences by bin completion.
 
 Documents are tokenised and cut into pieces no longer than a sequence. Whole
-sequences need no packing; the rest is dealt into groups of bounded size by a
-hash of the id, each packed by itself, so that a group fits in any task and
-costs at most one part-filled sequence.
+sequences need no packing; the rest is dealt into groups of bounded size by
+hash, each packed by itself, so that a group fits in any task.
 
 Within a group a bin starts with the longest piece left. Branch and bound
 looks for what completes it: fillings that cannot take a further piece, in
@@ -18,7 +17,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,9 +40,9 @@ BRANCHES = 400
 FILLINGS = 4
 TRIES = 300
 PIECE_FIELDS = [
-    ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("deal", pa.int64()),
+    ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("deal", pa.int64()), ("row", pa.int64()),
 ]
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long, row long"
 
 
 class WordTokenizer:
@@ -116,8 +115,9 @@ def pieces(df: DataFrame, model: str, end_id: int = 0, capacity: int = SEQUENCE)
     """Each document's ids and then ``end_id``, cut into pieces where longer than ``capacity``.
 
     ``start`` counts the document's ids before the piece, ``ids_crc32`` is over
-    its ids as little-endian unsigned 32-bit integers. ``deal`` spreads pieces
-    evenly over groups.
+    its ids as little-endian unsigned 32-bit integers. ``deal``, by content, and
+    ``row``, the number of the piece in its task, spread pieces evenly over
+    groups, also those of repeated rows.
     """
     vocabulary = df.sparkSession.sparkContext.broadcast(model)  # a file of a few MB, whatever the input
     end = int(end_id).to_bytes(4, "little")
@@ -126,13 +126,15 @@ def pieces(df: DataFrame, model: str, end_id: int = 0, capacity: int = SEQUENCE)
         tokenizer = WordTokenizer.of(vocabulary.value)
 
         def run(rows):
+            row = 0
             for block in blocks(rows, BLOCK_CHARS):
                 for (doc_id, _), ids in zip(block, tokenizer.encode([text for _, text in block])):
                     ids += end
                     for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         crc = zlib.crc32(part)
-                        yield doc_id, number, at // 4, len(part) // 4, crc, zlib.crc32(f"{doc_id} {number} {crc}".encode())
+                        yield doc_id, number, at // 4, len(part) // 4, crc, zlib.crc32(f"{doc_id} {number} {crc}".encode()), row
+                        row += 1
 
         return run
 
@@ -178,13 +180,20 @@ class Shelf:
 
 
 def fillings(shelf: Shelf, room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated fillings that leave at most ``waste``, least waste first.
+    """Up to FILLINGS undominated fillings that leave at most ``waste``, least waste first; none if all leave more.
 
     A filling is dominated if a further piece fits, or if it is matched by one
-    without waste. At most BRANCHES nodes are visited; the longest-first
-    (best-fit) filling is always among what is found.
+    without waste. The longest-first (best-fit) filling comes first and is
+    always known; the search for others visits at most BRANCHES nodes.
     """
-    found: dict[tuple[int, ...], int] = {}
+    longest_first, rest = [], room
+    while n := shelf.longest(rest):
+        shelf.take(n)
+        longest_first.append(n)
+        rest -= n
+    for n in longest_first:
+        shelf.put(n)
+    found: dict[tuple[int, ...], int] = {tuple(longest_first): rest}
     left = BRANCHES
 
     def search(room: int, below: int, taken: tuple[int, ...]) -> bool:
@@ -208,55 +217,76 @@ def fillings(shelf: Shelf, room: int, waste: int) -> list[tuple[int, ...]]:
             shelf.put(n)
             if done:
                 return True
-            if n * 2 < min(found.values(), default=0):  # what is shorter leaves more waste than is found
+            if n * 2 < min(found.values()):  # what is shorter leaves more waste than is found
                 break
             n = shelf.longest(min(room, n - 1))
         return False
 
-    search(room, room, ())
+    if rest:
+        search(room, room, ())
     ranked = sorted((rest, taken) for taken, rest in found.items())
-    fitting = [taken for rest, taken in ranked if rest <= waste][:FILLINGS]
-    return fitting or [ranked[0][1]] if waste >= room or fitting else []
+    return [taken for rest, taken in ranked if rest <= waste][:FILLINGS]
+
+
+def fewest_bins(lengths: list[int], capacity: int) -> int:
+    """A lower bound on the number of bins.
+
+    For any size ``k`` up to half a bin, pieces over half a bin have one each,
+    and what is not under ``k`` only fits beside those that leave ``k`` or more.
+    """
+    counts = np.bincount(np.array(lengths, np.int64), minlength=capacity + 1)
+    number, total = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 1))
+    half = capacity // 2
+    small = np.arange(1, half + 1)
+    middle = total[half] - total[small - 1]
+    roomy = number[capacity - small] - number[half]
+    free = roomy * capacity - (total[capacity - small] - total[half])
+    further = -(-np.maximum(middle - free, 0) // capacity)
+    return int((number[capacity] - number[half] + further).max(initial=-(-total[capacity] // capacity)))
 
 
 def complete(lengths: list[int], capacity: int) -> list[tuple[int, ...]]:
-    """Bins of lengths, as few as the search finds; each bin starts with its longest piece."""
+    """Bins of lengths, as few as the search finds; each bin starts with its longest piece.
+
+    Never more bins than best fit needs. The search ends when the lower bound
+    is reached or after TRIES steps more than best fit has bins.
+    """
     incumbent = best_fit(lengths, capacity)
-    least = -(-sum(lengths) // capacity)
+    total, least = sum(lengths), fewest_bins(lengths, capacity)
     tries = TRIES + len(incumbent)
     shelf = Shelf(lengths, capacity)
     chosen: list[tuple[int, ...]] = []
-    options: list[list[tuple[int, ...]]] = []
+    options: list[list[tuple[int, ...]]] = []  # untried completions of each chosen bin, and of the next one
     waste = 0
 
-    def undo() -> None:
+    def move(filling: tuple[int, ...], step: Callable[[int], None], sign: int) -> None:
         nonlocal waste
-        for n in chosen[-1]:
-            shelf.put(n)
-        waste -= capacity - sum(chosen.pop())
+        for n in filling:
+            step(n)
+        waste += sign * (capacity - sum(filling))
 
     while len(incumbent) > least and tries > 0:
-        allowed = (len(incumbent) - 1) * capacity - sum(lengths)
-        if not shelf.up:
-            incumbent = list(chosen)
-            continue
-        if len(options) == len(chosen):  # a new bin
-            tries -= 1
+        tries -= 1
+        if shelf.up:
             first = shelf.longest(capacity)
             shelf.take(first)
-            found = fillings(shelf, capacity - first, allowed - waste)
+            found = fillings(shelf, capacity - first, (len(incumbent) - 1) * capacity - total - waste)
             shelf.put(first)
             options.append([(first, *rest) for rest in reversed(found)])
-        while options and not options[-1]:
+        else:  # all is packed, with less waste than the incumbent has
+            incumbent = list(chosen)
+            move(chosen.pop(), shelf.put, -1)
+        allowed = (len(incumbent) - 1) * capacity - total
+        while options:
+            if options[-1] and waste + capacity - sum(options[-1][-1]) <= allowed:
+                chosen.append(options[-1].pop())
+                move(chosen[-1], shelf.take, 1)
+                break
             options.pop()
             if chosen:
-                undo()
-        if not options:
+                move(chosen.pop(), shelf.put, -1)
+        else:
             break
-        chosen.append(options[-1].pop())
-        for n in chosen[-1]:
-            shelf.take(n)
-        waste += capacity - sum(chosen[-1])
     return incumbent
 
 
@@ -311,11 +341,11 @@ def pack(df: DataFrame, model: str, end_id: int = 0, capacity: int = SEQUENCE) -
         frame = frame.sort_values(["length", "deal", "doc_id", "piece"], kind="stable")  # any order of arrival packs alike
         bins, offsets = place(frame["length"].to_numpy(), capacity)
         group = frame["packing"].iloc[0]
-        return frame.assign(sequence_id=2 * (bins * groups + group) + 1, offset=offsets).drop(columns=["packing", "deal"])
+        return frame.assign(sequence_id=2 * (bins * groups + group) + 1, offset=offsets).drop(columns=["packing", "deal", "row"])
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    packed = part.withColumn("packing", F.col("deal") % groups).groupBy("packing").applyInPandas(pack_group, schema)
+    packed = part.withColumn("packing", F.pmod(F.xxhash64("deal", "row"), F.lit(groups))).groupBy("packing").applyInPandas(pack_group, schema)
     # A whole sequence is a bin of its own; even numbers keep apart from the packed ones.
     whole = cut.where(F.col("length") == capacity).select(
         *columns, (2 * F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

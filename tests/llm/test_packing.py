@@ -1,5 +1,7 @@
 import random
+import time
 import zlib
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -71,6 +73,54 @@ def test_undominated_fillings():
     assert packing.fillings(packing.Shelf([6, 5], 20), 8, 3)[0] == (6,)
 
 
+@pytest.mark.parametrize("capacity", [20, 100, 500, 2048])
+@pytest.mark.parametrize("shape", ["any", "long", "short", "halves", "equal"])
+def test_hundreds_of_pieces_in_bounded_time(capacity, shape):
+    rng = random.Random(f"{capacity} {shape}")
+    ranges = {"any": (1, capacity), "long": (capacity * 3 // 10, capacity), "short": (1, max(1, capacity // 50)), "halves": (capacity // 3, capacity * 2 // 3), "equal": (capacity // 3, capacity // 3)}
+    for size in (1, 30, 200, 900):
+        lengths = [rng.randint(*ranges[shape]) for _ in range(size)]
+        start = time.perf_counter()
+        bins = packing.complete(lengths, capacity)
+        assert time.perf_counter() - start < 20
+        assert sorted(n for b in bins for n in b) == sorted(lengths) and all(sum(b) <= capacity for b in bins)
+        assert packing.fewest_bins(lengths, capacity) <= len(bins) <= len(packing.best_fit(lengths, capacity))
+
+
+@settings(max_examples=300, deadline=5000)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=60))
+def test_search_ends_and_is_never_worse_than_best_fit(lengths):
+    bins = packing.complete(lengths, 30)
+    assert sorted(n for b in bins for n in b) == sorted(lengths)
+    assert packing.fewest_bins(lengths, 30) <= len(bins) <= len(packing.best_fit(lengths, 30))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
+def test_lower_bound_is_one(lengths):
+    assert packing.fewest_bins(lengths, 20) <= fewest(lengths, 20)
+
+
+def test_more_short_pieces_than_branches():
+    assert packing.fillings(packing.Shelf([1] * 450, 2048), 548, 500) == [(1,) * 450]
+    bins = packing.complete([1500] * 12 + [1] * 450, 2048)
+    assert sum(map(len, bins)) == 462 and len(bins) == 12
+
+
+def test_many_empty_and_repeated_rows(docs):
+    rows = [(i, "word " * 1500) for i in range(12)] + [(100 + i, "") for i in range(450)] + [(None, "same words here")] * 600
+    found = packing.pack(docs(rows), MODEL).collect()
+    assert len(found) == len(rows)
+    check(rows, found)
+
+
+def test_repeated_rows_are_dealt_evenly(docs, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    found = packing.pack(docs([(1, "one text")] * 1000), MODEL).collect()
+    sizes = Counter(r.sequence_id % 40 for r in found)  # twenty groups
+    assert len(found) == 1000 and max(sizes.values()) < 150
+
+
 def check(rows, found):
     """Pieces make up each document's ids and sequences are gapless."""
     by_doc = {}
