@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 
 from curbsight.llm.common import Memo, blocks, documents, map_rows
 
-WORDS_KEPT = 400_000
+#: Bytes of known words that a worker remembers.
+MEMORY = 90_000_000
 BLOCK_CHARS = 4_000_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: how byte-level vocabularies split text before merging.
@@ -149,7 +150,7 @@ class ByteBpe:
         byte_of = {c: b for b, c in byte_letters().items()}
         self._bytes = {i: bytes(map(byte_of.__getitem__, token)) for token, i in vocabulary.items()}
         self._bytes |= {i: token.encode() for token, i in self._special.items()}
-        self._memo = Memo(self._encode_pieces, WORDS_KEPT)
+        self._memo = Memo(self._encode_pieces, MEMORY, "bytes")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
@@ -201,7 +202,7 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
         return run
 
     fields = [("doc_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int64())]
-    return map_rows(documents(df, id_col, text_col), start, "doc_id long, ids binary, n_tokens long", fields, 256)
+    return map_rows(documents(df, id_col, text_col), start, "doc_id long, ids binary, n_tokens long", fields, 256, "bytes")
 
 
 def decode(df: DataFrame, model: str) -> DataFrame:
@@ -218,4 +219,4 @@ def decode(df: DataFrame, model: str) -> DataFrame:
         return run
 
     fields = [("doc_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("text", pa.string())]
-    return map_rows(df.select("doc_id", "ids", "n_tokens"), start, "doc_id long, ids binary, n_tokens long, text string", fields, 256)
+    return map_rows(df.select("doc_id", "ids", "n_tokens"), start, "doc_id long, ids binary, n_tokens long, text string", fields, 256, "bytes")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from weakref import WeakSet
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,16 +33,19 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
 
 
-def map_rows(df: DataFrame, start: Callable[[], Callable[[Iterator[tuple]], Rows]], schema: str, fields: list[tuple[str, pa.DataType]], rows_per_batch: int = 4096) -> DataFrame:
+def map_rows(df: DataFrame, start: Callable[[], Callable[[Iterator[tuple]], Rows]], schema: str, fields: list[tuple[str, pa.DataType]], rows_per_batch: int = 4096, memory: str = "") -> DataFrame:
     """A generator over the rows of a partition, moved in Arrow batches.
 
     ``start`` runs once in each task and gives the generator. Rows are taken
     from the batches one by one and go out in batches of bounded length, so a
-    task holds one batch in and one out.
+    task holds one batch in and one out. ``memory`` is the kind of memos that
+    the tasks use; a worker forgets all others.
     """
     arrow = pa.schema(fields)
 
     def run(batches):
+        Memo.forget_but(memory)
+
         def rows():
             for batch in batches:
                 columns = batch.columns
@@ -65,24 +69,54 @@ def to_batch(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
 
 
 class Memo:
-    """What ``compute`` gives for keys, remembered in ``known`` up to a bounded number of them.
+    """What ``compute`` gives for keys, remembered in ``known`` within a budget of bytes.
 
     Kept per worker process, so tasks that run there later find it filled.
-    Only speed depends on it: when it is full, it forgets all but what is asked
-    for just then, frequent keys among it.
+    Only speed depends on it: when it is full, it forgets what was asked for
+    just once since the last time, or all but what is asked for just then if
+    that isn't enough.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int):
-        self.known: dict = {}
-        self._compute, self._limit = compute, limit
+    #: What a key and its value take beside their contents.
+    ENTRY = 200
+
+    _made: WeakSet[Memo] = WeakSet()
+
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], budget: int, kind: str = ""):
+        self.known: dict[str, bytes] = {}
+        self._kind = kind
+        self._made.add(self)
+        self._again: set[str] = set()
+        self._compute, self._budget, self._size = compute, budget, 0
 
     def learn(self, lists: list[list[str]]) -> None:
         """Have all keys of these lists in ``known``."""
         asked = set().union(*lists)
-        if len(self.known) > self._limit:
-            self.known = {k: self.known[k] for k in asked if k in self.known}
-        if new := list(asked.difference(self.known)):
-            self.known.update(zip(new, self._compute(new)))
+        new = asked.difference(self.known)
+        coming = self._weight(new) * 2  # values are about as long as their keys
+        if self._size + coming > self._budget:
+            kept = self._again | (asked - new)
+            if self._weight(kept) * 2 + coming > self._budget:
+                kept = asked - new
+            self.known = {k: self.known[k] for k in kept}
+            self._again = set()
+            self._size = sum(map(len, self.known.values())) + self._weight(kept)
+        else:
+            self._again |= asked - new
+        if new:
+            own = dict(zip(keys := list(new), self._compute(keys)))
+            self._size += self._weight(new) + sum(map(len, own.values()))
+            self.known.update(own)
+
+    @classmethod
+    def forget_but(cls, kind: str) -> None:
+        """Empty the memos of other kinds that earlier tasks have filled in this worker."""
+        for memo in cls._made:
+            if memo._kind != kind:
+                memo.known, memo._again, memo._size = {}, set(), 0
+
+    def _weight(self, keys: set[str]) -> int:
+        return sum(map(len, keys)) + self.ENTRY * len(keys)
 
     def joined(self, lists: list[list[str]]) -> list[bytes]:
         """Per list, what is known of its keys, one after the other."""

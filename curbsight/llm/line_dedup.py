@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbsight.llm.common import documents
+from curbsight.llm.common import Memo, documents
 from curbsight.sources.storage import materialize
 
 RUN_WORDS = 50
@@ -114,6 +114,7 @@ def fingerprints(docs: DataFrame, run_words: int, gram_words: int, with_windows:
     """A row per selected gram and place: ``gram``, and with windows ``doc_id``, ``copy``, ``first`` and ``hashes`` of the windows from there on."""
 
     def run(batches):
+        Memo.forget_but("")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbsight.llm.common import blocks, importable, map_rows
-from curbsight.llm.packing import BLOCK_CHARS, WordTokenizer
+from curbsight.llm.packing import BLOCK_CHARS, TOKENS, WordTokenizer
 from curbsight.sources.storage import materialize
 
 WINDOW = 4096
@@ -165,7 +165,7 @@ def lines(docs: DataFrame, names: list[str], model: str, end_id: int) -> DataFra
 
     fields = [("task", pa.int32()), ("queue", pa.int32()), ("before", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
     chosen = docs.select("doc_id", queue_of(names).alias("queue"), "text")
-    return map_rows(chosen, start, "task int, queue int, before long, doc_id long, n long, ids binary", fields, 512)
+    return map_rows(chosen, start, "task int, queue int, before long, doc_id long, n long, ids binary", fields, 512, TOKENS)
 
 
 def id_type(tokenizer: WordTokenizer, end_id: int) -> str:

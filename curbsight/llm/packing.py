@@ -32,7 +32,9 @@ from curbsight.sources.storage import materialize
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
-RUNS_KEPT = 400_000
+#: Bytes of known runs and of known words that a worker remembers.
+MEMORY = 100_000_000
+TOKENS = "tokens"
 #: Fixed value: the words of the vocabulary, in lower case.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 BLOCK_CHARS = 4_000_000
@@ -75,7 +77,7 @@ class WordTokenizer:
         self.size = self._tokenizer.get_vocab_size()
         self._as_bytes = [n.to_bytes(4, "little") for n in range(self.size)]
         self._words = regex.compile(WORDS)
-        self._of_run, self._of_word = Memo(self._encode_runs, RUNS_KEPT), Memo(self._encode_words, RUNS_KEPT)
+        self._of_run, self._of_word = Memo(self._encode_runs, MEMORY, TOKENS), Memo(self._encode_words, MEMORY, TOKENS)
         # str.split() also parts at these four, which Unicode doesn't count as white space
         self._separators = re.compile("[\x1c-\x1f]")
         self._white = re.compile(f"[{SPACE}]+")
@@ -85,16 +87,26 @@ class WordTokenizer:
         return self._of_run.joined(runs)
 
     def _encode_runs(self, runs: list[str]) -> list[bytes]:
-        words = [self._words.findall(r.lower()) if self._is_plain(r) else None for r in runs]
+        words = [self._words_of(r) for r in runs]
         self._of_word.learn([w for w in words if w is not None])
         known = self._of_word.known.__getitem__
         other = iter(self._by_library([r for r, w in zip(runs, words) if w is None]))
         return [next(other) if own is None else known(own[0]) if len(own) == 1 else b"".join(map(known, own)) for own in words]
 
+    def _words_of(self, run: str) -> list[str] | None:
+        """The words of a plain run; None for any other."""
+        if run.isascii():
+            if run.isalpha():
+                return [run.lower()]
+            if run[:-1].isalpha():  # with one mark or figure at its end
+                return [run[:-1].lower(), run[-1]]
+        return self._words.findall(run.lower()) if self._is_plain(run) else None
+
     def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        as_bytes, tokenize = self._as_bytes, self._model.tokenize
         for word in words:
-            letters = word.encode().decode("latin-1").translate(self._letters)
-            yield b"".join([self._as_bytes[t.id] for t in self._model.tokenize(letters)])
+            letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._letters)
+            yield b"".join([as_bytes[t.id] for t in tokenize(letters)])
 
     def _by_library(self, runs: list[str]) -> Iterator[bytes]:
         for coded in self._tokenizer.encode_batch_fast(runs, add_special_tokens=False):
@@ -138,7 +150,7 @@ def pieces(df: DataFrame, model: str, end_id: int = 0, capacity: int = SEQUENCE)
 
         return run
 
-    return map_rows(documents(df), start, PIECE_SCHEMA, PIECE_FIELDS)
+    return map_rows(documents(df), start, PIECE_SCHEMA, PIECE_FIELDS, memory=TOKENS)
 
 
 class Shelf:

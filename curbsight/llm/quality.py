@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbsight.llm.common import documents, map_rows
+from curbsight.llm.common import Memo, documents, map_rows
 from curbsight.sources.storage import materialize
 
 THRESHOLD = 0.3
@@ -194,6 +194,7 @@ def accepted(df: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
     @F.pandas_udf("double")
     def score_of(text: pd.Series) -> pd.Series:
+        Memo.forget_but("")
         return pd.Series(model.score(np.array([statistics(t) for t in text]).reshape(-1, len(STATISTICS))))
 
     return df.where(score_of(F.coalesce("text", F.lit(""))) >= threshold)

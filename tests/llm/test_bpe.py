@@ -51,8 +51,16 @@ def test_rows_in_rows_out(docs):
     assert bpe.encode(docs([]), MODEL).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 3])
+@pytest.mark.parametrize("limit", [0, 3, 1000, 1500, 10**6])
 def test_a_full_memo_changes_nothing(limit):
     memo = bpe.Memo(lambda keys: [k.upper().encode() for k in keys], limit)
     for _ in range(3):
         assert memo.joined([["a", "b"], ["c", "d", "a"], []]) == [b"AB", b"CDA", b""]
+
+
+def test_memos_of_other_kinds_are_emptied():
+    one, two = (bpe.Memo(lambda keys: [k.encode() for k in keys], 10**6, kind) for kind in ("one", "two"))
+    for memo in (one, two):
+        memo.joined([["a"]])
+    bpe.Memo.forget_but("one")
+    assert one.known == {"a": b"a"} and two.known == {} and two.joined([["a", "b"]]) == [b"ab"]
