@@ -20,9 +20,12 @@ Texts of keys that are mixed even then are finished by an exact join, whose
 candidates don't depend on keys or leaders. Each text's shingles are ranked by
 how many of these texts have them, rarest first; two texts of 0.8 or more have
 one in common among the first ninth of the shorter one's and the first fifth
-of the longer one's. Texts that have such a shingle in common are compared in blocks,
-by sizes, ranks and parities of their shingles; what these can't rule out is
-aligned.
+of the longer one's. Texts that have such a shingle in common are compared in
+blocks by sizes, ranks and parities of their shingles. What these can't rule
+out is aligned, but not as rows of pairs: texts stand in chunks, families side
+by side, and the texts of two chunks that may have a pair meet once, in one
+task, which aligns pairs until their classes are joined and gives the joining
+links only.
 
 A pair is verified by aligning the labelled shingles of both texts within the
 band of shifts that the threshold allows. Its similarity is aligned shingles
@@ -36,10 +39,12 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +55,15 @@ SHINGLE = 5
 SIMILARITY = 0.8
 TUPLES = [4] * 18 + [2] * 6
 BANDS = len(TUPLES)
-ROUNDS = 3
+ROUNDS = 1
 DRAWS = 4
-RUNS_KEPT = 250_000
+#: Bytes of known runs of words that a worker remembers.
+MEMORY = 50_000_000
 BLOCK_CHARS = 2_000_000
 PARITY_BITS = 2048
-CELL = 4096
+CELL = 1024
+CHUNK = 256
+CHUNK_SHINGLES = 500_000
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.random.default_rng(20).integers(1, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(21).integers(1, 2**63, BANDS, dtype=np.uint64)
@@ -67,7 +75,7 @@ def _hashed(runs: list[str]) -> list[bytes]:
     return [b"".join(xxhash.xxh32_intdigest(w).to_bytes(4, "little") for w in _WORD.findall(r)) for r in runs]
 
 
-_memo = Memo(_hashed, RUNS_KEPT)
+_memo = Memo(_hashed, MEMORY, "words")
 
 
 def word_hashes(texts: list[str]) -> list[bytes]:
@@ -149,31 +157,32 @@ def _longest_rise(values: list[int]) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``words_digest`` and band ``keys`` (none without words), one row per row."""
+    """``doc_id``, ``copy``, ``words_digest`` and band ``keys`` (none without words), one row per row."""
 
     def start():
         def run(rows):
-            for block in blocks(rows, BLOCK_CHARS):
-                for (doc_id, text), words in zip(block, word_hashes([text for _, text in block])):
+            for block in blocks((((doc_id, copy), text) for doc_id, copy, text in rows), BLOCK_CHARS):
+                for (own, text), words in zip(block, word_hashes([text for _, text in block])):
                     if words:
-                        yield doc_id, hashlib.blake2b(words, digest_size=16).digest(), band_keys(shingles(words)).tolist()
+                        yield *own, hashlib.blake2b(words, digest_size=16).digest(), band_keys(shingles(words)).tolist()
                     else:
-                        yield doc_id, hashlib.blake2b(text.encode(), digest_size=16, key=b"no words").digest(), []
+                        yield *own, hashlib.blake2b(text.encode(), digest_size=16, key=b"no words").digest(), []
 
         return run
 
-    fields = [("doc_id", pa.int64()), ("words_digest", pa.binary()), ("keys", pa.list_(pa.int64()))]
-    return map_rows(docs, start, "doc_id long, words_digest binary, keys array<long>", fields)
+    fields = [("doc_id", pa.int64()), ("copy", pa.int64()), ("words_digest", pa.binary()), ("keys", pa.list_(pa.int64()))]
+    chosen = docs.select("doc_id", "copy", "text")
+    return map_rows(chosen, start, "doc_id long, copy long, words_digest binary, keys array<long>", fields, memory="words")
 
 
-def once_per_id(df: DataFrame) -> DataFrame:
-    """One row of each ``doc_id``. After a join by id, rows are dealt and sorted for this already."""
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
+def once(df: DataFrame, *keys: str) -> DataFrame:
+    """One row of each ``keys``. After a join by them, rows are dealt and sorted for this already."""
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     return df.withColumn("__number", number).where("__number = 1").drop("__number")
 
 
 def hashed_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id`` and ``words`` of the documents named in ``wanted``.
+    """``doc_id``, now the ``number`` in ``wanted``, and ``words`` of the rows (``doc_id``, ``copy``) that it names.
 
     The hint keeps the plan the same at every size: names grow with the input.
     """
@@ -181,12 +190,12 @@ def hashed_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def start():
         def run(rows):
             for block in blocks(rows, BLOCK_CHARS):
-                yield from zip([doc_id for doc_id, _ in block], word_hashes([text for _, text in block]))
+                yield from zip([number for number, _ in block], word_hashes([text for _, text in block]))
 
         return run
 
-    chosen = once_per_id(docs.join(wanted.hint("merge"), "doc_id", "left_semi"))
-    return map_rows(chosen, start, "doc_id long, words binary", [("doc_id", pa.int64()), ("words", pa.binary())], 256)
+    chosen = once(docs.join(wanted.hint("merge"), ["doc_id", "copy"]), "doc_id", "copy").select("number", "text")
+    return map_rows(chosen, start, "doc_id long, words binary", [("doc_id", pa.int64()), ("words", pa.binary())], 256, "words")
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -267,9 +276,11 @@ def parities(labelled: np.ndarray) -> bytes:
 
 
 def rare_shingles(placed: DataFrame, words: DataFrame) -> DataFrame:
-    """Of each text its rarest shingles: ``shingle``, ``doc_id``, ``class_id``, ``size``, ``at``, ``short`` and ``bits``.
+    """Of each text its rarest shingles: ``shingle``, ``doc_id``, ``class_id``, ``size``, ``chunk``, ``at``, ``short`` and ``bits``.
 
-    ``placed`` has ``doc_id`` and ``class_id``. A text's shingles are ordered
+    ``placed`` has ``doc_id``, ``class_id`` and ``family``, which is mostly
+    equal for texts that resemble each other; these go to the same chunks. A
+    text's shingles are ordered
     by the number of texts that have them; those of one class only come first
     and are left out, since they can't be common to two classes. ``at`` is the
     place in that order. Of the shingles that two similar texts share, the
@@ -280,15 +291,21 @@ def rare_shingles(placed: DataFrame, words: DataFrame) -> DataFrame:
 
     def start():
         def run(rows):
+            chunk, texts, held = TaskContext.get().partitionId() << 32, 0, 0
             for doc_id, class_id, own in rows:
                 labelled = shingles(own)
-                yield doc_id, class_id, labelled.view(np.int64).tolist(), parities(labelled)
+                if texts == CHUNK or texts and held + len(labelled) > CHUNK_SHINGLES:
+                    chunk, texts, held = chunk + 1, 0, 0
+                texts, held = texts + 1, held + len(labelled)
+                yield doc_id, class_id, chunk, labelled.view(np.int64).tolist(), parities(labelled)
 
         return run
 
-    fields = [("doc_id", pa.int64()), ("class_id", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.binary())]
-    chosen = words.join(placed, "doc_id").select("doc_id", "class_id", "words")
-    listed = materialize(map_rows(chosen, start, "doc_id long, class_id long, shingles array<long>, bits binary", fields, 256), "shingles")
+    fields = [("doc_id", pa.int64()), ("class_id", pa.int64()), ("chunk", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.binary())]
+    order = ["family", "class_id", "doc_id"]
+    chosen = words.join(placed, "doc_id").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "class_id", "words")
+    listed = map_rows(chosen, start, "doc_id long, class_id long, chunk long, shingles array<long>, bits binary", fields, 256)
+    listed = materialize(listed, "shingles")
     each = listed.select("doc_id", "class_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
     common = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
     met = each.join(materialize(common.select("shingle", "n"), "common-shingles"), "shingle")
@@ -299,38 +316,107 @@ def rare_shingles(placed: DataFrame, words: DataFrame) -> DataFrame:
     at = near.select("doc_id", "class_id", "size", F.posexplode("ranked").alias("number", "r"), "first").withColumn("at", F.col("first") + F.col("number"))
     short = F.col("at") <= before(2 * SIMILARITY / (1 + SIMILARITY))
     found = at.select("r.shingle", "doc_id", "class_id", "size", "at", short.alias("short"))
-    return found.join(listed.select("doc_id", "bits"), "doc_id").select("shingle", "doc_id", "class_id", "size", "at", "short", "bits")
+    columns = ["shingle", "doc_id", "class_id", "size", "chunk", "at", "short", "bits"]
+    return found.join(listed.select("doc_id", "chunk", "bits"), "doc_id").select(columns)
+
+
+class Texts(NamedTuple):
+    """Columns of some texts, by rising size."""
+
+    ids: np.ndarray
+    own: np.ndarray
+    size: np.ndarray
+    chunk: np.ndarray
+    known: np.ndarray
+    bits: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple]) -> Texts:
+        """From rows that begin with ``doc_id``, ``class_id``, ``size``, ``chunk`` and ``bits``, sorted by size."""
+        ids, own, size, chunk = (np.array([r[k] for r in rows]) for k in range(4))
+        known = np.array([len(r[4]) > 0 for r in rows])
+        bits = np.frombuffer(b"".join(r[4] or bytes(PARITY_BITS // 8) for r in rows), "<u8").reshape(len(rows), -1)
+        return cls(ids, own, size, chunk, known, bits)
+
+    def needed(self, x: int, y: np.ndarray) -> np.ndarray:
+        """How many shingles the texts must share at least."""
+        return (self.size[x] + self.size[y]) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+
+    def last(self) -> np.ndarray:
+        """For each text the first one that is too long for it."""
+        return np.searchsorted(self.size, self.size / SIMILARITY + 1e-6, "right")
+
+    def not_apart(self, x: int, y: np.ndarray) -> np.ndarray:
+        """Those of ``y`` whose parities allow that they are similar to ``x``."""
+        if not len(y) or not self.known[x]:
+            return y
+        apart = np.bitwise_count(self.bits[y] ^ self.bits[x]).sum(axis=1, dtype=np.int64)
+        return y[~self.known[y] | (apart <= self.size[x] + self.size[y] - 2 * self.needed(x, y))]
+
+
+def may_meet(cell: list[tuple], across: bool) -> Iterator[tuple[int, int, int, int, int]]:
+    """Texts of a cell that may be similar to one of another class, and block if ``across``: ``low``, ``high`` (the chunks of both), and the text's own chunk, ``doc_id`` and ``class_id``.
+
+    ``cell`` has ``doc_id``, ``class_id``, ``size``, ``chunk``, ``bits``,
+    ``at``, ``short`` and ``block``. Sizes, the shingles after the common one
+    and parities must allow it.
+    """
+    cell = sorted(cell, key=lambda r: (r[2], r[0]))
+    texts = Texts.of(cell)
+    at, short, block = (np.array([r[k] for r in cell]) for k in (5, 6, 7))
+    last, meetings = texts.last(), {}
+    for x in np.flatnonzero(short):
+        y = np.arange(x + 1, last[x])
+        ok = (texts.own[y] != texts.own[x]) & (np.minimum(texts.size[x] - at[x], texts.size[y] - at[y]) >= texts.needed(x, y))
+        if across:
+            ok &= block[y] != block[x]
+        y = texts.not_apart(x, y[ok])
+        for chunk in np.unique(texts.chunk[y]).tolist():
+            both = min(chunk, int(texts.chunk[x])), max(chunk, int(texts.chunk[x]))
+            met = meetings.setdefault(both, np.zeros(len(cell), bool))
+            met[y[texts.chunk[y] == chunk]] = met[x] = True
+    for both, met in meetings.items():
+        for x in np.flatnonzero(met):
+            yield *both, int(texts.chunk[x]), int(texts.ids[x]), int(texts.own[x])
 
 
-def possible_pairs(cell: list[tuple], across: bool) -> Iterator[tuple[int, int]]:
-    """Pairs (``a`` > ``b``) of a cell's texts that are of different classes, and blocks if ``across``, and may reach SIMILARITY.
+def joining_links(met: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Similar texts (``a`` > ``b``) of different classes and of both chunks, as many as join the classes.
 
-    Their sizes, the shingles after the common one and their parities must allow it.
+    ``met`` has ``chunk``, ``doc_id``, ``class_id`` and ``words``.
     """
-    cell = sorted(cell, key=lambda e: (e[3], e[1]))
-    ids, own, size, at, short, block = (np.array([e[k] for e in cell]) for k in (1, 2, 3, 4, 5, 7))
-    known = np.array([len(e[6]) > 0 for e in cell])
-    bits = np.frombuffer(b"".join(e[6] or bytes(PARITY_BITS // 8) for e in cell), "<u8").reshape(len(cell), -1)
-    last = np.searchsorted(size, size / SIMILARITY + 1e-6, "right")
-    for x in np.flatnonzero(short):
+    measured = []
+    for chunk, doc_id, class_id, words in met:
+        labelled = shingles(words)
+        measured.append((doc_id, class_id, len(labelled), chunk, parities(labelled), labelled))
+    measured.sort(key=lambda r: (r[2], r[0]))
+    texts = Texts.of(measured)
+    last, leads = texts.last(), {}
+
+    def root(c: int) -> int:
+        while c in leads:
+            c = leads[c]
+        return c
+
+    across = texts.chunk.min() != texts.chunk.max()
+    for x in range(len(measured)):
         y = np.arange(x + 1, last[x])
-        need = (size[x] + size[y]) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
-        ok = (own[y] != own[x]) & (np.minimum(size[x] - at[x], size[y] - at[y]) >= need)
+        ok = texts.own[y] != texts.own[x]
         if across:
-            ok &= block[y] != block[x]
-        y, need = y[ok], need[ok]
-        if len(y) and known[x]:
-            apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-            y = y[~known[y] | (apart <= size[x] + size[y] - 2 * need)]
-        for other in ids[y].tolist():
-            yield max(int(ids[x]), other), min(int(ids[x]), other)
+            ok &= texts.chunk[y] != texts.chunk[x]
+        for other in texts.not_apart(x, y[ok]).tolist():
+            one, two = root(int(texts.own[x])), root(int(texts.own[other]))
+            if one != two and similarity(measured[x][5], measured[other][5]) >= SIMILARITY:
+                leads[max(one, two)] = min(one, two)
+                yield max(measured[x][0], measured[other][0]), min(measured[x][0], measured[other][0])
 
 
-def pairs_of_several_classes(placed: DataFrame, words: DataFrame) -> DataFrame:
-    """Pairs (``a`` > ``b``) of texts of different classes, all those of SIMILARITY and more among them.
+def meetings(placed: DataFrame, words: DataFrame) -> DataFrame:
+    """Which texts meet: ``low``, ``high``, ``chunk``, ``doc_id``, ``class_id``, so that every two similar texts of different classes do.
 
-    Texts that have a rare shingle meet in cells of two blocks, so a task
-    holds CELL texts whatever their number, and only pairs that pass are rows.
+    Texts that have a rare shingle in common are looked through in cells of
+    two blocks, so a task holds CELL texts whatever their number. A meeting
+    has the texts of two chunks that may be similar, each once.
     """
     rare = rare_shingles(placed, words)
     by_class = Window.partitionBy("shingle").orderBy("class_id", "doc_id")
@@ -339,48 +425,52 @@ def pairs_of_several_classes(placed: DataFrame, words: DataFrame) -> DataFrame:
     blocked = blocked.withColumn("last", F.max("block").over(whole)).withColumn("low", F.min("class_id").over(whole)).withColumn("high", F.max("class_id").over(whole))
     dealt = blocked.where("low < high").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    columns = ["shingle", "doc_id", "class_id", "size", "at", "short", "bits", "block", "i", "j"]
+    columns = ["shingle", "i", "j", "doc_id", "class_id", "size", "chunk", "bits", "at", "short", "block"]
     cells = dealt.select(columns).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
 
     def start():
         def run(rows):
-            for (_, i, j), cell in groupby(rows, lambda r: (r[0], r[8], r[9])):
-                yield from possible_pairs(list(cell), i != j)
+            for (_, i, j), cell in groupby(rows, lambda r: r[:3]):
+                yield from may_meet([r[3:] for r in cell], i != j)
 
         return run
 
-    return map_rows(cells, start, "a long, b long", [("a", pa.int64()), ("b", pa.int64())]).distinct()
+    fields = [(c, pa.int64()) for c in ("low", "high", "chunk", "doc_id", "class_id")]
+    return map_rows(cells, start, "low long, high long, chunk long, doc_id long, class_id long", fields).distinct()
 
 
-def classes(df: DataFrame) -> DataFrame:
-    """One row per row of ``df``: ``doc_id``, ``class_id`` (the least id of its class) and ``class_size`` in rows.
+def links_of_several_classes(placed: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (``a`` > ``b``) that join all classes of which some texts are similar."""
+    met = materialize(meetings(placed, words), "meetings").join(words, "doc_id").select("low", "high", "chunk", "doc_id", "class_id", "words")
 
-    ``df`` has ``doc_id`` and ``text``; other columns play no part. Null text
-    counts as empty. Texts of equal words are one class whatever their length;
-    texts without words are alike only if identical, empty ones among them. A
-    text of under five words is a single shingle, so it is alike only to equal
-    words. Rows that repeat an id go by one class, the least that one of them
-    is in. A null id is no class's name and its row is a class of its own
-    with a null ``class_id``. Long texts are sketched and aligned whole.
-    """
-    docs = documents(df)
-    known = docs.where("doc_id IS NOT NULL")
-    sketched = materialize(sketches(known), "sketches")
-    equal = materialize(sketched.groupBy("words_digest").agg(F.min("doc_id").alias("first")), "equal-words")
-    by_words = materialize(sketched.select("doc_id", "words_digest").join(equal, "words_digest").select("doc_id", "first"), "firsts")
-    firsts = materialize(
-        sketched.join(equal.withColumnRenamed("first", "doc_id"), ["words_digest", "doc_id"], "left_semi")
-        .where(F.size("keys") > 0).dropDuplicates(["doc_id"]).select("doc_id", "keys"),
-        "first-sketches",
-    )
+    def start():
+        def run(rows):
+            for _, group in groupby(rows, lambda r: r[:2]):
+                yield from joining_links([r[2:] for r in group])
+
+        return run
+
+    dealt = met.repartition("low", "high").sortWithinPartitions("low", "high")
+    return map_rows(dealt, start, "a long, b long", [("a", pa.int64()), ("b", pa.int64())])
+
+
+def labelled(df: DataFrame) -> DataFrame:
+    """Of each row with an id: ``doc_id``, ``copy`` (a hash of its text) and the ``label`` of its class, a number."""
+    docs = documents(df).where("doc_id IS NOT NULL").withColumn("copy", F.xxhash64("text"))
+    sketched = materialize(sketches(docs), "sketches")
+    equal = sketched.groupBy("words_digest").agg(F.min(F.struct("doc_id", "copy")).alias("first"))
+    # Texts of equal words have one number, that of their first row's; it stays, since it is stored.
+    equal = materialize(equal.select("words_digest", "first.*", F.monotonically_increasing_id().alias("number")), "equal-words")
+    firsts = sketched.where(F.size("keys") > 0).join(equal, ["words_digest", "doc_id", "copy"]).dropDuplicates(["number"])
+    firsts = materialize(firsts.select(F.col("number").alias("doc_id"), "keys"), "first-sketches")
     alone = firsts.select("doc_id", F.posexplode("keys").alias("band", "key")).withColumn("key", F.xxhash64("band", "key"))
     leaders = alone.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
     members = materialize(alone.join(materialize(leaders.select("key", "leader"), "leaders"), "key"), "members")
     tried = members.where("doc_id > leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
     tried = materialize(tried, "pairs")
     # Whatever is compared later shares a key, so it is in these pairs.
-    named = tried.select(F.col("a").alias("doc_id")).union(tried.select("b")).distinct()
-    words = materialize(hashed_words(known, named), "words")
+    compared = tried.select(F.col("a").alias("number")).union(tried.select("b")).distinct()
+    words = materialize(hashed_words(docs, equal.join(compared, "number").select("doc_id", "copy", "number")), "words")
     links = materialize(verified(tried, words), "verified")
     labels = classes_of(links)
     starred = members
@@ -391,14 +481,30 @@ def classes(df: DataFrame) -> DataFrame:
         if not found.isEmpty():
             links = materialize(links.union(found), "all-verified")
             labels = classes_of(links)
-        tried = materialize(tried.union(pairs), "tried")
-    mixed_texts = unresolved(starred, labels, firsts, 1).select("doc_id", "class_id").distinct()
-    pairs = materialize(pairs_of_several_classes(materialize(mixed_texts, "mixed-texts"), words).join(tried, ["a", "b"], "left_anti"), "pairs")
-    found = materialize(verified(pairs, words), "verified")
+        tried = materialize(tried.union(pairs), "tried") if turn < ROUNDS else None
+    mixed_texts = unresolved(starred, labels, firsts, 1).groupBy("doc_id", "class_id").agg(F.min("key").alias("family"))
+    found = materialize(links_of_several_classes(materialize(mixed_texts, "mixed-texts"), words), "verified")
     if not found.isEmpty():
         labels = classes_of(links.union(found))
-    named = by_words.join(labels.withColumnRenamed("doc_id", "first"), "first", "left")
-    named = materialize(named.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "first")).alias("class_id")), "classes")
+    numbered = equal.select("words_digest", "number").join(labels.withColumnRenamed("doc_id", "number"), "number", "left")
+    numbered = numbered.select("words_digest", F.coalesce("class_id", "number").alias("label"))
+    return materialize(sketched.select("doc_id", "copy", "words_digest").join(numbered, "words_digest").select("doc_id", "copy", "label"), "labelled")
+
+
+def classes(df: DataFrame) -> DataFrame:
+    """One row per row of ``df``: ``doc_id``, ``class_id`` (the least id of its class) and ``class_size`` in rows.
+
+    ``df`` has ``doc_id`` and ``text``; other columns play no part. Null text
+    counts as empty. Texts of equal words are one class whatever their length;
+    texts without words are alike only if identical, empty ones among them. A
+    text of under five words is a single shingle, so it is alike only to equal
+    words. Rows that repeat an id go by one class, the least that one of them
+    is in. A null id is no class's name and its row is a class of its own
+    with a null ``class_id``. Long texts are sketched and aligned whole.
+    """
+    docs, placed = documents(df), labelled(df)
+    least = materialize(placed.groupBy("label").agg(F.min("doc_id").alias("class_id")), "least-ids")
+    named = materialize(placed.join(least, "label").groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "classes")
     ids = docs.select("doc_id").join(named, "doc_id", "left")
     sizes = materialize(ids.groupBy("class_id").agg(F.count("*").alias("class_size")), "class-sizes")
     whole = ids.join(sizes, "class_id", "left")
@@ -408,8 +514,12 @@ def classes(df: DataFrame) -> DataFrame:
 def representatives(df: DataFrame) -> DataFrame:
     """The rows of ``df``, with all their columns, that stay: the least id of each class.
 
-    Of rows that repeat this id one stays. Rows without an id all stay.
+    Different texts of one id are told apart, so each stays or goes by its own
+    class; of rows that repeat an id and a text one stays. Rows without an id
+    all stay.
     """
-    first = classes(df).where("doc_id = class_id").select(F.col("doc_id").alias("__near_id")).distinct()
-    kept = df.join(materialize(first, "representatives"), F.col("doc_id").cast("long") == F.col("__near_id"), "left_semi")
-    return once_per_id(kept).unionByName(df.where("doc_id IS NULL"))
+    first = labelled(df).groupBy("label").agg(F.min(F.struct("doc_id", "copy")).alias("first"))
+    first = materialize(first.select(F.col("first.doc_id").alias("__near_id"), F.col("first.copy").alias("__near_copy")), "representatives")
+    copies = df.withColumn("__copy", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = copies.join(first, (F.col("doc_id").cast("long") == F.col("__near_id")) & (F.col("__copy") == F.col("__near_copy")), "left_semi")
+    return once(kept, "doc_id", "__copy").drop("__copy").unionByName(df.where("doc_id IS NULL"))

@@ -187,7 +187,7 @@ def test_pairs_of_one_template_family_all_meet(docs):
     assert found == dict(enumerate(label.tolist()))
 
 
-def test_prefix_pairs_are_all_pairs_of_enough_shared_shingles(spark):
+def test_similar_texts_of_different_classes_meet_and_are_joined(spark, monkeypatch):
     rng = random.Random(4)
     texts = []
     for _ in range(15):
@@ -201,8 +201,51 @@ def test_prefix_pairs_are_all_pairs_of_enough_shared_shingles(spark):
     parts = [set(shingles(w).tolist()) for w in hashed]
     label = [rng.randrange(40) for _ in texts]
     words = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(hashed)], "doc_id long, words binary")
-    placed = spark.createDataFrame(list(enumerate(label)), "doc_id long, class_id long")
-    found = {tuple(r) for r in near_dedup.pairs_of_several_classes(placed, words).collect()}
-    apart = {(a, b) for a in range(len(texts)) for b in range(a) if label[a] != label[b]}
-    alike = {(a, b) for a, b in apart if len(parts[a] & parts[b]) >= 0.8 * len(parts[a] | parts[b])}
-    assert alike and alike <= found <= apart
+    for families, chunk in ((1, 256), (7, 4)):
+        monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+        monkeypatch.setattr(near_dedup, "CELL", 4 * chunk)
+        placed = spark.createDataFrame([(i, c, c % families) for i, c in enumerate(label)], "doc_id long, class_id long, family long")
+        met = near_dedup.meetings(placed, words).collect()
+        assert len(met) == len(set(met))
+        together = {}
+        for r in met:
+            together.setdefault((r.low, r.high), []).append(r)
+        found = {(max(x.doc_id, y.doc_id), min(x.doc_id, y.doc_id)) for own in together.values() for x in own for y in own}
+        apart = {(a, b) for a in range(len(texts)) for b in range(a) if label[a] != label[b]}
+        alike = {(a, b) for a, b in apart if len(parts[a] & parts[b]) >= 0.8 * len(parts[a] | parts[b])}
+        assert alike and alike <= found
+        links = [tuple(r) for r in near_dedup.links_of_several_classes(placed, words).collect()]
+        similar = {(a, b) for a, b in apart if similarity(shingles(hashed[a]), shingles(hashed[b])) >= 0.8}
+        assert set(links) <= similar and joined(label, links) == joined(label, similar)
+
+
+def joined(label, links):
+    """Classes after links, as sets of class ids."""
+    sets = {c: {c} for c in label}
+    for a, b in links:
+        if sets[label[a]] is not sets[label[b]]:
+            both = sets[label[a]] | sets[label[b]]
+            sets |= dict.fromkeys(both, both)
+    return {frozenset(own) for own in sets.values()}
+
+
+@pytest.mark.parametrize("size", [100, 200])
+def test_two_classes_of_many_texts_need_few_rows(spark, size):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(2 * size):
+        own = list(base)
+        own[rng.randrange(len(own))] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    words = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(word_hashes(texts))], "doc_id long, words binary")
+    placed = spark.createDataFrame([(i, i % 2, 0) for i in range(2 * size)], "doc_id long, class_id long, family long").coalesce(1)
+    groups = -(-2 * size // near_dedup.CHUNK)
+    assert near_dedup.meetings(placed, words).count() <= 2 * size * (groups + 1)
+    assert 1 <= near_dedup.links_of_several_classes(placed, words).count() <= groups * (groups + 1) // 2
+
+
+def test_different_texts_of_one_id_go_apart(docs):
+    rows = [(1, "a b c d e f"), (1, "a clean text of its own"), (2, "a b c d e f"), (3, "another one"), (3, "a b c d e f"), (3, "another one")]
+    kept = [(r.doc_id, r.text) for r in representatives(docs(rows)).collect()]
+    assert sorted(kept) == [(1, "a b c d e f"), (1, "a clean text of its own"), (3, "another one")]
