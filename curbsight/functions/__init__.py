@@ -7,12 +7,14 @@ from curbsight.functions.formats import (
     strip_whitespace,
     text_or_none,
 )
-from curbsight.functions.numbers import code_lookup, property_number, ratio, snap_round
+from curbsight.functions.numbers import code_lookup, exact_mean, exact_sum, property_number, ratio, snap_round
 
 __all__ = [
     "code_lookup",
     "code_point_sum",
     "dollars",
+    "exact_mean",
+    "exact_sum",
     "number_text",
     "pick",
     "property_number",

@@ -26,6 +26,16 @@ def ratio(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count)
 
 
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that have two decimals, added exactly, so in any order; null without values."""
+    return F.sum(value.cast("decimal(18,2)")).cast("double")
+
+
+def exact_mean(value: Column) -> Column:
+    """Mean of doubles that have two decimals: added exactly, divided once; null without values."""
+    return ratio(F.sum(value.cast("decimal(18,2)")), F.count(value))
+
+
 def code_lookup(code: Column, mapping: Mapping[str, str], default: str) -> Column:
     """Map a code to its text; unknown codes and nulls get the default."""
     if not mapping:

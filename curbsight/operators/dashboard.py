@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
-from curbsight.functions import dollars, number_text
+from curbsight.functions import dollars, exact_mean, exact_sum, number_text
 
 
 def churn_view(churn: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def kpi_cards(churn: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     figures = churn.groupBy(*by).agg(
         _sum_or_zero(F.when(_high(), F.col("contract_value"))).alias("revenue_at_risk"),
         F.count(F.when(_high(), 1)).alias("high_risk_count"),
-        F.avg("avg_csat").alias("avg_csat"),
+        exact_mean(F.col("avg_csat")).alias("avg_csat"),
         F.avg("missed_pickups_30d").alias("avg_missed_pickups"),
     )
     return figures.select(
@@ -117,4 +117,4 @@ def _high() -> Column:
 
 
 def _sum_or_zero(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0.0))
+    return F.coalesce(exact_sum(value), F.lit(0.0))

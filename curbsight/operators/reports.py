@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
-from curbsight.functions import snap_round
+from curbsight.functions import exact_mean, snap_round
 
 
 def high_churn(churn: DataFrame, n: int = fv.TOP_N) -> DataFrame:
@@ -65,8 +65,8 @@ def service_rollup(service: DataFrame) -> DataFrame:
     counting once whatever its ticket count, and missed pickups add up over all rows."""
     return service.groupBy("service_category").agg(
         F.sum("total_complaints").alias("total_complaints"),
-        F.avg("avg_csat").alias("avg_csat"),
-        F.avg("avg_resolution_time").alias("avg_resolution_time"),
+        exact_mean(F.col("avg_csat")).alias("avg_csat"),
+        exact_mean(F.col("avg_resolution_time")).alias("avg_resolution_time"),
         F.sum("total_missed_pickups").alias("total_missed_pickups"),
     )
 
@@ -79,7 +79,7 @@ def health_rollup(health: DataFrame) -> DataFrame:
     """Measures per name and type; properties that share a name fall together."""
     return health.groupBy("property_name", "property_type").agg(
         F.sum("total_complaints").alias("total_complaints"),
-        F.avg("avg_csat").alias("avg_csat"),
+        exact_mean(F.col("avg_csat")).alias("avg_csat"),
         F.sum("total_missed_pickups").alias("total_missed_pickups"),
     )
 

@@ -45,6 +45,11 @@ def _avg2(column: str) -> str:
     return f"round(avg({column})::DECIMAL(18,8), 2)::DOUBLE"
 
 
+def _mean(column: str) -> str:
+    """Of doubles with two decimals: added exactly, divided once."""
+    return f"(sum({column}::DECIMAL(18,2))::DOUBLE / nullif(count({column}), 0))"
+
+
 def _ratio2(total: str, count: str) -> str:
     return f"round((({total})::DOUBLE / nullif({count}, 0))::DECIMAL(18,8), 2)::DOUBLE"
 
@@ -209,15 +214,15 @@ RELATIONS = {
           max(missed_pickups_30d) AS total_missed_pickups, {_avg2('contract_value')} AS contract_value
         FROM silver GROUP BY service_category, property_id, property_name, property_type
     """,
-    "service_sums": """
-        SELECT service_category, sum(total_complaints)::BIGINT AS total_complaints, avg(avg_csat) AS avg_csat,
-          avg(avg_resolution_time) AS avg_resolution_time,
+    "service_sums": f"""
+        SELECT service_category, sum(total_complaints)::BIGINT AS total_complaints, {_mean('avg_csat')} AS avg_csat,
+          {_mean('avg_resolution_time')} AS avg_resolution_time,
           sum(total_missed_pickups)::BIGINT AS total_missed_pickups
         FROM service GROUP BY service_category
     """,
-    "health_sums": """
+    "health_sums": f"""
         SELECT property_name, property_type, sum(total_complaints)::BIGINT AS total_complaints,
-          avg(avg_csat) AS avg_csat, sum(total_missed_pickups)::BIGINT AS total_missed_pickups
+          {_mean('avg_csat')} AS avg_csat, sum(total_missed_pickups)::BIGINT AS total_missed_pickups
         FROM health GROUP BY property_name, property_type
     """,
     "r_high_churn": _numbered(
@@ -408,8 +413,8 @@ def _kpi(group: str, source: str) -> str:
     return f"""SELECT {also}revenue_at_risk, high_risk_count, round(avg_csat, 6) AS avg_csat,
           round(avg_missed, 6) AS avg_missed_pickups, {_dollars('revenue_at_risk')} AS revenue_text,
           printf('%.2f', avg_csat) || ' / 5.0' AS csat_text, printf('%.1f', avg_missed) AS missed_text
-        FROM (SELECT {also}coalesce(sum(CASE WHEN churn_risk_label = 'high' THEN contract_value END), 0) AS revenue_at_risk,
-          count(*) FILTER (WHERE churn_risk_label = 'high') AS high_risk_count, avg(avg_csat) AS avg_csat,
+        FROM (SELECT {also}coalesce(sum((CASE WHEN churn_risk_label = 'high' THEN contract_value END)::DECIMAL(18,2))::DOUBLE, 0) AS revenue_at_risk,
+          count(*) FILTER (WHERE churn_risk_label = 'high') AS high_risk_count, {_mean('avg_csat')} AS avg_csat,
           avg(missed_pickups_30d) AS avg_missed {source})"""
 
 
@@ -518,7 +523,7 @@ SELECTS = {
     "answer_texts": "SELECT * FROM texts",
     "kpi_cards": _kpi("", "FROM churn"),
     "alert_urgent_renewals": f"""SELECT *, {_dollars('renewing_revenue')} AS renewing_revenue_text FROM (
-        SELECT count(*) AS renewing_count, coalesce(sum(contract_value), 0)::DOUBLE AS renewing_revenue
+        SELECT count(*) AS renewing_count, coalesce(sum(contract_value::DECIMAL(18,2))::DOUBLE, 0) AS renewing_revenue
         FROM churn WHERE churn_risk_label = 'high' AND renewal_date <= {AS_OF} + {fv.RENEWAL_NOTICE_DAYS})""",
     "alert_lowest_csat": """SELECT property_id, property_name, avg_csat, missed_pickups_30d FROM churn
         ORDER BY avg_csat ASC NULLS LAST, property_id LIMIT 1""",
@@ -575,6 +580,7 @@ SELECTS = {
     "knn_top5": _knn("overall_centroid"),
     "knn_batch": _knn("label_centroids"),
     "knn_blocks": _knn("label_centroids"),
+    "knn_cells": _knn("label_centroids"),
     "knn_text": """SELECT query_id, position::INTEGER AS position, ticket_id, round(d2, 6) AS d2 FROM hits""",
     "knn_preview": f"""SELECT query_id, position::INTEGER AS position,
         substr(page_content, 1, {fv.PREVIEW_CHARS}) AS preview, property_id, service_category, churn_risk

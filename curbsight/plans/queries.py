@@ -11,6 +11,7 @@ from curbsight import fixed_values as fv
 from curbsight.operators import (
     answers,
     audit,
+    cells,
     dashboard,
     documents,
     evidence,
@@ -91,8 +92,7 @@ def bronze_csv_rejects(spark, sf):
     path = storage.new_location(spark, "tickets-rejects")
     score = F.when(F.col("ticket_id") % 13 == 5, "x2").otherwise(F.col("csat_score").cast("string"))
     csv_files.write_tickets(adapters.tickets(spark, sf).withColumn("csat_score", score), path)
-    read = storage.materialize(csv_files.read_tickets(spark, path, rejects=True), "tickets-read")
-    good, rejected = csv_files.split_rejects(read)
+    good, rejected = csv_files.split_rejects(csv_files.read_tickets(spark, path, rejects=True))
     figures = [F.count("*").alias("tickets"), F.sum("ticket_id").alias("id_sum"), F.count("csat_score").alias("scores")]
     kept = good.agg(F.lit("kept").alias("outcome"), *figures)
     return kept.union(rejected.agg(F.lit("rejected").alias("outcome"), *figures)).where("tickets > 0")
@@ -386,6 +386,13 @@ def knn_top5(spark, sf):
     return _distances(nearest.nearest(corpus, adapters.overall_centroid(corpus)))
 
 
+def knn_cells(spark, sf):
+    """The vectors stored by cell; every question reads only the cells that may hold its nearest ones."""
+    corpus = adapters.vectors(spark, sf)
+    index = cells.build(corpus, storage.new_location(spark, "cell-index"), cells=16)
+    return _distances(cells.search(index, adapters.label_centroids(corpus)))
+
+
 def knn_batch(spark, sf):
     corpus = adapters.vectors(spark, sf)
     return _distances(nearest.nearest(corpus, adapters.label_centroids(corpus)))
@@ -565,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "embed_with_model": embed_with_model,
     "knn_top5": knn_top5,
     "knn_batch": knn_batch,
+    "knn_cells": knn_cells,
     "knn_blocks": knn_blocks,
     "knn_text": knn_text,
     "knn_preview": knn_preview,

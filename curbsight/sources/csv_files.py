@@ -64,8 +64,10 @@ def split_rejects(tickets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records without the column of rejected texts, and the rejected ones with it.
 
     Both frames scan the files; write ``tickets`` to a table first to parse once.
+    Either side has the same records for any columns that are selected from it.
     """
-    good = F.col(REJECTED).isNull()
+    # Spark converts only the cells it is asked for, so the condition asks for all that can be bad.
+    good = F.when(_read_at_all(tickets), F.col(REJECTED)).isNull()
     return tickets.where(good).drop(REJECTED), tickets.where(~good)
 
 
@@ -136,13 +138,24 @@ def _read(
     fields = [known.get(name, T.StructField(name, T.StringType())) for name in found]
     names = [*expected.names, *(name for name in found if name not in known)]
     options["enforceSchema"] = False  # header and schema must agree in every file
+    options["columnPruning"] = False  # too few or many cells are noticed whichever are asked for
     if rejects:
         fields.append(T.StructField(REJECTED, T.StringType()))
         names.append(REJECTED)
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
     else:
         options["mode"] = "FAILFAST"
-    return spark.read.options(**options).schema(T.StructType(fields)).csv(path).select(*names)
+    read = spark.read.options(**options).schema(T.StructType(fields)).csv(path).select(*names)
+    if rejects:
+        return read
+    # A bad record fails any use of the frame, also one that needs none of its columns.
+    return read.where(_read_at_all(read))
+
+
+def _read_at_all(df: DataFrame) -> Column:
+    """True for every record, in a way that has Spark convert all cells that may not fit."""
+    typed = [f.name for f in df.schema if f.dataType != T.StringType()] or df.columns[:1]
+    return F.length(F.concat_ws(",", *(F.col(f"`{c}`").cast("string") for c in typed))) >= 0
 
 
 def _write(df: DataFrame, path: str, rows_per_file: int) -> None:

@@ -63,6 +63,15 @@ def test_kpi_figures(spark):
     assert (kpi.revenue_text, kpi.csat_text, kpi.missed_text) == ("$1,236", "3.00 / 5.0", "3.0")
 
 
+def test_kpi_means_do_not_depend_on_the_order_of_rows(spark):
+    scores = [3.1, 3.25, 2.7, 3.65, 3.03, 3.32]
+    for order in (scores, scores[::-1], sorted(scores), scores[3:] + scores[:3]):
+        df = churn(spark, *(prop(f"P{i}", csat=v, missed=1, contract=0.1) for i, v in enumerate(order))).repartition(len(order))
+        kpi = dashboard.kpi_cards(df).first()
+        assert (kpi.avg_csat, kpi.csat_text) == (19.05 / 6, f"{19.05 / 6:.2f} / 5.0")
+        assert dashboard.kpi_cards(df.coalesce(1)).first() == kpi
+
+
 def test_bottleneck_tie_goes_to_the_first_name(spark):
     df = spark.createDataFrame([("b", 9, 1.0), ("a", 9, 2.0), ("c", 1, 6.0)],
                                "service_category string, total_complaints bigint, avg_resolution_time double")

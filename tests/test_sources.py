@@ -252,6 +252,21 @@ def test_bad_cells_fail_or_are_set_aside(spark, folder, multi_line):
     assert "x2" in values(rejected, csv_files.REJECTED)[0]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("columns", [["ticket_id"], ["csat_score"], ["initial_message", "ticket_id"], ["resolution_time_hours"], None])
+def test_rejects_are_the_same_for_each_projection(spark, folder, columns, multi_line):
+    written(folder, f"{HEADER}\n1,a,b,c,d,e,f,g,h,2,1.5\n2,a,b,c,d,e,f,g,h,x2,1.5\n3,a,b,c,d,e,f,g,h,,oops\n,a,b,c,d,e,f,g,h,1,1\n")
+    good, rejected = csv_files.split_rejects(csv_files.read_tickets(spark, folder, multi_line=multi_line, rejects=True))
+    strict = csv_files.read_tickets(spark, folder, multi_line=multi_line)
+    assert (good.count(), rejected.count()) == (2, 2)
+    chosen = columns or good.columns
+    assert (len(good.select(chosen).collect()), len(rejected.select(chosen).collect())) == (2, 2)
+    assert good.agg(F.count("*"), F.max(chosen[0])).first()[0] == 2
+    for use in (lambda df: df.count(), lambda df: df.select(chosen).collect(), lambda df: df.agg(F.max(chosen[0])).collect()):
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|oops|x2"):
+            use(strict)
+
+
 def test_missing_column_fails(spark, folder):
     written(folder, HEADER.replace(",issue_type", "") + "\n")
     with pytest.raises(ValueError, match="issue_type"):
