@@ -128,9 +128,9 @@ def windows(sizes: list[int], owed: list[Fraction], capacity: int, least: int =
 
 
 def frequent_sources(docs: DataFrame, number: int = QUEUES) -> list[str]:
-    """The sources with most text, ``number`` of them at most."""
-    sizes = docs.groupBy("source").agg(F.sum(F.length("text")).alias("chars"))
-    return [r["source"] for r in sizes.orderBy(F.desc("chars"), "source").limit(number).collect()]
+    """The sources with most documents, ``number`` of them at most; no text is read for that."""
+    counted = docs.groupBy("source").count()
+    return [r["source"] for r in counted.orderBy(F.desc("count"), "source").limit(number).collect()]
 
 
 def queue_of(names: list[str]) -> Column:
@@ -229,8 +229,8 @@ def pack(
     ``targets`` are the shares of sources in every sequence, any positive
     numbers. Sources that it doesn't name go together as one, named None; it
     has the smallest share given if its own isn't. Without targets each source
-    has the share of tokens that it has in all documents (the QUEUES largest
-    ones; all others go together), and all run out at the same time.
+    has the share of tokens that it has in all documents (the QUEUES ones of
+    most documents; all others go together), and all run out at the same time.
     ``source`` names the queue a piece came from, null for the common one.
 
     Sequences hold ``capacity`` tokens, or a smaller power of two, so none needs

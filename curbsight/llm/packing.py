@@ -33,7 +33,7 @@ from curbsight.sources.storage import materialize
 SEQUENCE = 2048
 GROUP_PIECES = 8192
 #: Bytes of known runs and of known words that a worker remembers.
-MEMORY = 100_000_000
+MEMORY = 150_000_000
 TOKENS = "tokens"
 #: Fixed value: the words of the vocabulary, in lower case.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
