@@ -479,6 +479,8 @@ SELECTS = {
     "rag_projection": f"SELECT {', '.join(fv.RAG_COLUMNS)} FROM silver",
     "base_aggregate": _BASE.format(hours="round(sum(resolution_time_hours), 6)"),
     "gold_churn_risk": "SELECT * FROM churn",
+    "gold_incremental": "SELECT * FROM churn",
+    "gold_snapshot": "SELECT * FROM churn",
     "gold_churn_from_base": "SELECT * FROM churn",
     "gold_property_health": "SELECT * FROM health",
     "gold_service_performance": "SELECT * FROM service",

@@ -24,9 +24,9 @@ from curbsight.operators import (
 )
 from curbsight.operators.encoder import encode_with_model
 from curbsight.plans import assistant, medallion
-from curbsight.sources import adapters, csv_files, storage, tables, vectors
+from curbsight.sources import adapters, csv_files, snapshots, storage, tables, vectors
 from curbsight.sources.adapters import AS_OF
-from curbsight.streaming import silver_stream
+from curbsight.streaming import gold_stream, silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +208,24 @@ def lookup_join_category(spark, sf):
     return joined.select("ticket_id", "issue_type", "service_category")
 
 
+def gold_incremental(spark, sf):
+    """Churn risk from the mergeable state that a stream of ticket files has built up."""
+    files, root = storage.new_location(spark, "ticket-files"), storage.new_location(spark, "gold-state")
+    adapters.tickets(spark, sf).repartition(6, "ticket_id").write.parquet(files)
+    stream = silver_stream.read_ticket_stream(spark, files, adapters.tickets(spark, sf).schema, files_per_batch=2)
+    gold_stream.update_gold(stream, AS_OF, root, storage.new_location(spark, "gold-state-progress"))
+    return gold_stream.gold_tables(spark, root)["gold_churn_risk"]
+
+
+def gold_snapshot(spark, sf):
+    """A table published twice; readers see the second version."""
+    root = storage.new_location(spark, "snapshots")
+    churn = storage.materialize(_churn(spark, sf), "churn")
+    snapshots.publish(churn.where("churn_risk_label = 'high'"), "gold_churn_published", root)
+    snapshots.publish(churn, "gold_churn_published", root)
+    return tables.read_table(spark, "gold_churn_published")
+
+
 def silver_stream_table(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     stream = silver_stream.read_ticket_stream(
@@ -517,6 +535,8 @@ QUERIES: dict[str, Query] = {
     "silver_quarantine": silver_quarantine,
     "silver_lenient": silver_lenient,
     "silver_stream": silver_stream_table,
+    "gold_incremental": gold_incremental,
+    "gold_snapshot": gold_snapshot,
     "lookup_join_category": lookup_join_category,
     "rag_projection": _on(_silver, documents.rag_projection),
     "base_aggregate": base_aggregate,
