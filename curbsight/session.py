@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", app: str = "curbsight") -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.retainedStages", "100000")  # the bench adds up the bytes of all stages
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
