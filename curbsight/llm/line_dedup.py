@@ -1,206 +1,259 @@
 """Repeated passages, found by winnowing over line hashes.
 
-A text is a sequence of lines; long lines are cut further after sentence ends,
-so that a passage inside a paragraph is seen too. A gram is the run of lines
-from one line on that first reaches GRAM_WORDS words, a window the one that
-first reaches RUN_WORDS. From the grams inside each window the one of least
-hash is selected, so any repeated run of RUN_WORDS words has at least one
-selected gram in common: that is the guarantee of winnowing.
-
-Selected grams that occur more than once are joined back to their positions.
-There the match is extended both ways by whole windows: each window that has
-selected the gram is looked up among all such windows, the first place (least
-id, then least position) keeps its lines, and windows at later places that
-lie side by side or overlap merge into the repeated runs, which go.
+Where a text breaks its lines says little about what it repeats, so texts are
+read as words and lines are re-flowed: one of LINE_WORDS words begins at every
+word. From each window of RUN_WORDS words the line of least hash is selected,
+so any two equal runs of RUN_WORDS words have a selected line in common, at
+the same place of the run: that is the guarantee of winnowing.
+
+Selected lines are joined by their positions. A match is extended both ways as
+far as the windows go that select its line; the next selected line goes on
+from there. Most matches are equal as far as that, which one hash of the whole
+span shows. The others are extended word by word: every window of the span is
+looked up by its own hash. The first place of a run (least id, then least
+position) keeps its words; the later runs go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbsight.llm.common import Memo, documents
 from curbsight.sources.storage import materialize
 
 RUN_WORDS = 50
-GRAM_WORDS = 12
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+LINE_WORDS = 12
+#: Characters that are fingerprinted at once, but for longer texts.
+BLOCK_CHARS = 1 << 20
+BASE = 0x9E3779B97F4A7C15
+_WORD = re.compile(r"\S+")
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 ... n - 1, modulo 2**64."""
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_KEPT = 1 << 18
+_POWERS, _INVERSES = _powers(BASE, _KEPT), _powers(pow(BASE, -1, 1 << 64), _KEPT)
+_BYTES = np.random.default_rng(1).integers(1 << 63, size=256, dtype=np.uint64)
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ``values[start:end]``, by differences of prefix sums; no span is empty."""
+    n = len(values)
+    powers, inverses = (_POWERS, _INVERSES) if n <= _KEPT else (_powers(BASE, n), _powers(pow(BASE, -1, 1 << 64), n))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:n], dtype=np.uint64)])
+    x = (sums[ends] - sums[starts]) * inverses[starts]
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A hash for each of the words, which single blanks part."""
+    if not data:
+        return np.zeros(0, np.uint64)
+    letters = np.frombuffer(data, np.uint8)
+    blanks = np.flatnonzero(letters == 32)
+    starts, ends = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(letters)]])
+    result, at = [], 0
+    while at < len(starts):
+        # Whole words of about as many letters as there are powers, or one longer word.
+        to = max(at + 1, np.searchsorted(ends, starts[at] + _KEPT, "right"))
+        part = letters[starts[at] : ends[to - 1]]
+        result.append(span_hashes(_BYTES[part], starts[at:to] - starts[at], ends[at:to] - starts[at]))
+        at = to
+    return np.concatenate(result)
+
+
+def least(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the last least of ``width`` successive values, from each one on."""
+    best, size = np.arange(len(values)), 1
+    while size < width:
+        step = min(size, width - size)
+        left, right = best[:-step], best[step:]
+        best = np.where(values[right] <= values[left], right, left)
+        size += step
+    return best
+
+
+class Block:
+    """The words of some texts one after the other, as hashes; case and white space don't count."""
+
+    def __init__(self, texts: Iterable[str]):
+        plain = [" ".join(text.lower().split()) for text in texts]
+        self.counts = np.fromiter((p.count(" ") + 1 if p else 0 for p in plain), np.int64, len(plain))
+        self.words = word_hashes(" ".join(filter(None, plain)).encode())
+        self.ends = np.cumsum(self.counts)
+        self.offsets = self.ends - self.counts
+
+    def selected(self, run_words: int, line_words: int) -> tuple[np.ndarray, ...]:
+        """``line``, ``span``, ``row``, ``first`` and ``number`` of each selected line.
+
+        The windows that select it are ``number`` successive ones, the first of
+        which begins at word ``first`` of its text; the span is all their words.
+        """
+        n = len(self.words)
+        starts = np.flatnonzero(np.arange(n) + run_words <= np.repeat(self.ends, self.counts))
+        if not len(starts):
+            return (np.zeros(0, np.int64),) * 5
+        at = np.arange(n - line_words + 1)
+        lines = span_hashes(self.words, at, at + line_words)
+        chosen = least(lines, run_words - line_words + 1)[starts]
+        cut = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+        first, number = starts[cut], np.diff(np.append(cut, len(starts)))
+        row = np.searchsorted(self.ends, first, "right")
+        span = span_hashes(self.words, first, first + number + run_words - 1)
+        return lines[chosen[cut]].view(np.int64), span.view(np.int64), row, first - self.offsets[row], number
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about BLOCK_CHARS characters of ``text``, one row at least."""
+    sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = np.cumsum(sizes + 64) // BLOCK_CHARS
+    edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), batch.num_rows]
+    yield from (batch.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a)
+
+
+def selected_lines(docs: DataFrame, run_words: int, line_words: int) -> DataFrame:
+    """A row per selected line: ``line``, ``span``, ``doc_id``, ``copy``, ``first``, ``number``."""
 
+    def run(batches):
+        Memo.forget_but("")
+        for part in (s for batch in batches for s in slices(batch)):
+            line, span, row, first, number = Block(part.column("text").to_pylist()).selected(run_words, line_words)
+            ids, copies = part.column("doc_id").take(pa.array(row)), part.column("copy").take(pa.array(row))
+            small = (pa.array(x.astype(np.int32)) for x in (first, number))
+            yield pa.RecordBatch.from_arrays([pa.array(line), pa.array(span), ids, copies, *small], ["line", "span", "doc_id", "copy", "first", "number"])
 
-def lines(text: str) -> list[str]:
-    """The lines of a text; each is followed by one character, except the last."""
-    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
+    return docs.mapInArrow(run, "line long, span long, doc_id long, copy long, first int, number int")
 
 
-def word_counts(cut: list[str]) -> np.ndarray:
-    """Words of each line that has any; blank lines don't count as lines below."""
-    counts = np.fromiter((line.count(" ") + 1 if line else 0 for line in cut), np.int64, len(cut))
-    return counts[counts > 0]
+def windows_of(docs: DataFrame, run_words: int) -> DataFrame:
+    """A row per window of the spans in ``spans``, structs of ``line``, ``first``, ``number``: ``line``, ``hash``, ``doc_id``, ``copy``, ``start``."""
 
+    def run(batches):
+        Memo.forget_but("")
+        for part in (s for batch in batches for s in slices(batch)):
+            block = Block(part.column("text").to_pylist())
+            lists = part.column("spans")
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            line, first, number = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in lists.flatten().flatten())
+            of = np.repeat(np.arange(len(row)), number)
+            start = first[of] + np.arange(len(of)) - (np.cumsum(number) - number)[of]
+            at = start + block.offsets[row[of]]
+            hashes = span_hashes(block.words, at, at + run_words).view(np.int64) if len(at) else at
+            rows = pa.array(row[of])
+            columns = [pa.array(line[of]), pa.array(hashes), part.column("doc_id").take(rows), part.column("copy").take(rows), pa.array(start.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["line", "hash", "doc_id", "copy", "start"])
 
-def window_ends(words: np.ndarray, reach: int) -> np.ndarray:
-    """For each line from which on ``reach`` words follow, the line after the last that these need."""
-    before = np.concatenate([[0], np.cumsum(words)])
-    starts = np.searchsorted(before, before[-1] - reach, "right")
-    return np.searchsorted(before, before[:starts] + reach)
+    return docs.mapInArrow(run, "line long, hash long, doc_id long, copy long, start int")
 
 
-class Winnowed:
-    """Window hashes of one text, and runs of windows that select the same gram.
+def same_text(left: str, right: str) -> Column:
+    """Whether rows of two frames with these aliases are of one text."""
+    return F.col(f"{left}.copy").eqNullSafe(F.col(f"{right}.copy")) & F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
 
-    Window ``i`` begins with the i-th non-blank line. ``grams[k]`` is selected
-    by the windows from ``firsts[k]`` to ``firsts[k + 1]``.
-    """
 
-    def __init__(self, text: str, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS):
-        cut = [line.strip().lower() for line in lines(text)]
-        words = word_counts(cut)
-        ends = window_ends(words, run_words)
-        if not len(ends):
-            self.hashes = self.grams = self.firsts = np.zeros(0, np.int64)
-            return
-        sums = self._prefix_sums([line for line in cut if line])
-        self.hashes = self._span_hashes(sums, ends)
-        gram_ends = window_ends(words, gram_words)
-        grams = self._span_hashes(sums, gram_ends)
-        selected = self._least(grams, np.arange(len(ends)), np.searchsorted(gram_ends, ends, "right"))
-        self.firsts = np.flatnonzero(np.concatenate([[True], selected[1:] != selected[:-1]]))
-        self.grams = grams[selected[self.firsts]]
-
-    @staticmethod
-    def _prefix_sums(cut: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of the hash of each line times BASE to the number of lines before it, modulo 2**64; the powers' inverses."""
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, cut), np.uint64, len(cut))
-        steps = np.ones(len(cut), np.uint64)
-        steps[1:] = BASE
-        power = np.cumprod(steps, dtype=np.uint64)
-        steps[1:] = INVERSE
-        return np.concatenate([[np.uint64(0)], np.cumsum(hashes * power, dtype=np.uint64)]), np.cumprod(steps, dtype=np.uint64)
-
-    @staticmethod
-    def _span_hashes(sums: tuple[np.ndarray, np.ndarray], ends: np.ndarray) -> np.ndarray:
-        """Hashes of the spans of lines that begin with the first, second ... line."""
-        x = (sums[0][ends] - sums[0][: len(ends)]) * sums[1][: len(ends)]
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-        return (x ^ (x >> np.uint64(32))).view(np.int64)
-
-    @staticmethod
-    def _least(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Index of the last least value in each range; ranges rise and none is empty."""
-        best = np.arange(len(values))
-        result, width, reach = starts.copy(), 1, ends - starts
-        while len(starts):
-            # best[i] is for values[i : i + width]; two of them cover a range of width to 2 * width.
-            now = (reach >= width) & (reach < 2 * width)
-            a, b = best[starts[now]], best[ends[now] - width]
-            result[now] = np.where(values[b] <= values[a], b, a)
-            if 2 * width > reach.max():
-                return result
-            left, right = best[:-width], best[width:]
-            best = np.where(values[right] <= values[left], right, left)
-            width *= 2
-        return result
-
-
-def fingerprints(docs: DataFrame, run_words: int, gram_words: int, with_windows: bool) -> DataFrame:
-    """A row per selected gram and place: ``gram``, and with windows ``doc_id``, ``copy``, ``first`` and ``hashes`` of the windows from there on."""
-
-    def run(batches):
-        Memo.forget_but("")
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [Winnowed(text, run_words, gram_words) for text in part.column("text").to_pylist()]
-                grams = pa.array(np.concatenate([f.grams for f in found]))
-                if not with_windows:
-                    yield pa.RecordBatch.from_arrays([grams], ["gram"])
-                    continue
-                counts = [len(f.grams) for f in found]
-                ends = np.cumsum([0, *(len(f.hashes) for f in found)])
-                offsets = np.concatenate([*(f.firsts + e for f, e in zip(found, ends)), ends[-1:]]).astype(np.int32)
-                hashes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([f.hashes for f in found])))
-                of_row = pa.array(np.repeat(np.arange(len(found)), counts))
-                ids, copies = part.column("doc_id").take(of_row), part.column("copy").take(of_row)
-                firsts = pa.array(np.concatenate([f.firsts for f in found]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([grams, ids, copies, firsts, hashes], ["gram", "doc_id", "copy", "first", "hashes"])
-
-    return docs.mapInArrow(run, "gram long" + ", doc_id long, copy long, first int, hashes array<long>" * with_windows)
-
-
-def repeated_windows(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """Windows whose lines also stand at an earlier place: ``doc_id``, ``copy`` and ``starts``, the numbers of their first lines.
+def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
+    """Runs of words that also stand at an earlier place: ``doc_id``, ``copy`` and ``runs``, structs of ``start`` and ``end`` in words.
 
     ``docs`` has ``doc_id``, ``text`` and its hash as ``copy``, which tells the texts of a repeated or null id apart.
+    Runs may overlap.
     """
-    grams = fingerprints(docs, run_words, gram_words, with_windows=False)
-    common = materialize(grams.groupBy("gram").count().where("count > 1").select("gram"), "repeated-grams")
-    windows = materialize(
-        fingerprints(docs, run_words, gram_words, with_windows=True)
-        .join(common, "gram", "left_semi")
-        .select("doc_id", "copy", "first", F.posexplode("hashes").alias("number", "hash"))
-        .select("doc_id", "copy", (F.col("first") + F.col("number")).alias("start"), "hash"),
-        "windows",
-    )
-    place = F.struct("doc_id", "copy", "start")
-    places = windows.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = materialize(places.where("n > 1").select("hash", "first"), "first-places")
-    later = windows.join(first, "hash").where(place > F.col("first"))
-    return later.groupBy("doc_id", "copy").agg(F.collect_set("start").alias("starts"))
-
-
-def without(text: str, starts: Iterable[int], run_words: int = RUN_WORDS) -> tuple[str, int]:
-    """The text without the lines of the windows that begin there, and how many lines these were."""
-    cut = lines(text)
-    full = [at for at, line in enumerate(cut) if line.strip()]
-    ends = window_ends(word_counts([cut[at].strip() for at in full]), run_words)
-    gone = np.zeros(len(full) + 1, np.int64)
-    starts = np.unique(np.fromiter(starts, np.int64))
-    np.add.at(gone, starts, 1)
-    np.add.at(gone, ends[starts], -1)
-    gone = np.cumsum(gone)[:-1] > 0
-    dropped = {full[at] for at in np.flatnonzero(gone)}
-    offset, kept = 0, []
-    for at, line in enumerate(cut):
-        if at not in dropped:
-            kept.append(text[offset : offset + len(line) + 1])
-        offset += len(line) + 1
-    return "".join(kept).strip(), len(dropped)
-
-
-def clean(df: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """All columns of ``df``, with later repeated runs cut from ``text``, and the number of cut lines, ``removed_lines``.
-
-    ``df`` has ``doc_id`` and ``text``. Lines match without regard to case and
-    outer white space; blank lines are passed over. A passage stays at its
-    first place, so a whole copy of an earlier text loses all its lines and is
-    left with an empty text. Rows that repeat an id and a text are one
-    document: they don't lose lines to each other. Different texts of an id go
-    in the order of their hashes, a null id comes before all others, null text
-    stays null, and texts under ``run_words`` words are never cut. A
-    column of ``df`` named ``removed_lines`` is replaced.
+    lines = materialize(selected_lines(docs, run_words, line_words), "selected-lines")
+    place = F.struct("doc_id", "copy", "first")
+    by_span = lines.groupBy("line", "span").agg(F.min(place).alias("place"), F.max("number").alias("number"), F.count("*").alias("n"))
+    spans = materialize(by_span, "spans")
+    # Spans that are equal to the end: all but the first go as a whole.
+    again = spans.where("n > 1").select("line", "span", "place")
+    whole = lines.join(again, ["line", "span"]).where(place > F.col("place"))
+    whole = whole.select("doc_id", "copy", F.col("first").alias("start"), (F.col("first") + F.col("number") + run_words - 1).alias("end"))
+    # Lines with several spans: the first places of these are extended word by word.
+    mixed = spans.groupBy("line").agg(F.count("*").alias("spans")).where("spans > 1").select("line")
+    tried = spans.join(mixed, "line", "left_semi").groupBy("place.doc_id", "place.copy").agg(F.collect_list(F.struct("line", "place.first", "number")).alias("spans"))
+    of_text = docs.alias("d").join(tried.alias("t"), same_text("d", "t")).select("d.doc_id", "d.copy", "d.text", "t.spans")
+    windows = materialize(windows_of(of_text, run_words), "windows")
+    window = F.struct("doc_id", "copy", "start")
+    places = windows.groupBy("line", "hash").agg(F.min(window).alias("place"), F.count("*").alias("n"))
+    later = windows.join(places.where("n > 1").select("line", "hash", "place"), ["line", "hash"]).where(window > F.col("place"))
+    later = later.select("doc_id", "copy", "start", (F.col("start") + run_words).alias("end"))
+    return whole.unionByName(later).groupBy("doc_id", "copy").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+
+
+def without(text: str, runs: Iterable[tuple[int, int]]) -> tuple[str, int, int]:
+    """The text without the words of the runs and the white space after them; how many lines these were on, and how many words."""
+    kept, at, word, lines, words, last = [], 0, 0, 0, 0, -1
+    found = _WORD.finditer(text)
+    end = 0
+    for start, stop in sorted(map(tuple, runs)):
+        start = max(start, end)
+        if start >= stop:
+            continue
+        end = stop
+        while word < start:
+            next(found)
+            word += 1
+        begin = None
+        while word < stop:
+            match = next(found)
+            begin = match.start() if begin is None else begin
+            if text.find("\n", last, match.start()) >= 0 or last < 0:
+                lines += 1
+            last = match.start()
+            word += 1
+        words += stop - start
+        kept.append(text[at:begin])
+        at = match.end()
+        while at < len(text) and text[at].isspace():
+            at += 1
+    return ("".join(kept) + text[at:]).strip(), lines, words
+
+
+def clean(df: DataFrame, run_words: int = RUN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
+    """All columns of ``df``, with later repeated runs cut from ``text``; ``removed_lines`` says how many lines lost words, ``removed_words`` how many words went.
+
+    ``df`` has ``doc_id`` and ``text``. Words are what white space parts; they
+    match without regard to case, over line ends and inside sentences, and
+    every run of ``run_words`` words or more that also stands at an earlier
+    place goes. A passage stays at its first place, so a whole copy of an
+    earlier text is left with an empty text; a run that overlaps its own first
+    place leaves one period, so of one word repeated often one stays. Rows
+    that repeat an id and a text are one document: they don't lose words to
+    each other. Different texts of an id go in the order of their hashes, a
+    null id comes before all others, null text stays null, and texts under
+    ``run_words`` words are never cut. Columns of ``df`` named
+    ``removed_lines`` and ``removed_words`` are replaced.
     """
-    windows = repeated_windows(documents(df).withColumn("copy", F.xxhash64("text")), run_words, gram_words)
-    windows = windows.toDF("__line_id", "__line_copy", "__line_starts")
+    if not 0 < line_words <= run_words:
+        raise ValueError("a line has one word at least and no more than a run")
+    runs = repeated_runs(documents(df).withColumn("copy", F.xxhash64("text")), run_words, line_words)
+    runs = runs.toDF("__line_id", "__line_copy", "__line_runs")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__line_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__line_copy"))
-    joined = df.drop("removed_lines").join(windows, same, "left")
+    joined = df.drop("removed_lines", "removed_words").join(runs, same, "left")
 
-    @F.pandas_udf("text string, removed int")
-    def cut(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        done = [(None, 0) if s is None else without(t, s, run_words) for t, s in zip(text, starts)]
-        return pd.DataFrame(done, columns=["text", "removed"])
+    @F.pandas_udf("text string, lines int, words int")
+    def cut(text: pd.Series, runs: pd.Series) -> pd.DataFrame:
+        done = [(None, 0, 0) if r is None else without(t, ((x["start"], x["end"]) for x in r)) for t, r in zip(text, runs)]
+        return pd.DataFrame(done, columns=["text", "lines", "words"])
 
-    touched = F.col("__line_starts").isNotNull()
+    touched = F.col("__line_runs").isNotNull()
     # Only texts that lose something go through Python.
-    done = joined.withColumn("__line_cut", cut(F.when(touched, F.col("text")), F.col("__line_starts")))
+    done = joined.withColumn("__line_cut", cut(F.when(touched, F.col("text")), F.col("__line_runs")))
+    kept = [c for c in df.columns if c not in ("removed_lines", "removed_words")]
     return done.select(
-        *(F.when(touched, F.col("__line_cut.text")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in df.columns if c != "removed_lines"),
-        F.col("__line_cut.removed").alias("removed_lines"),
+        *(F.when(touched, F.col("__line_cut.text")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in kept),
+        F.col("__line_cut.lines").alias("removed_lines"),
+        F.col("__line_cut.words").alias("removed_words"),
     )
