@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbsight.llm.common import Memo, documents
-from curbsight.sources.storage import materialize
+from curbsight.sources.storage import materialize, new_location, scratch
 
 RUN_WORDS = 50
 LINE_WORDS = 12
@@ -99,15 +99,17 @@ class Block:
         self.offsets = self.ends - self.counts
 
     def selected(self, run_words: int, line_words: int) -> tuple[np.ndarray, ...]:
-        """``line``, ``span``, ``row``, ``first`` and ``number`` of each selected line.
+        """``line``, ``span``, ``row``, ``first``, ``number`` and ``more`` of each selected line.
 
         The windows that select it are ``number`` successive ones, the first of
         which begins at word ``first`` of its text; the span is all their words.
+        Where the same line and span follow at once, as in texts that go round
+        and round, the first stands for all, and the others begin ``more`` words on at most.
         """
         n = len(self.words)
         starts = np.flatnonzero(np.arange(n) + run_words <= np.repeat(self.ends, self.counts))
         if not len(starts):
-            return (np.zeros(0, np.int64),) * 5
+            return (np.zeros(0, np.int64),) * 6
         at = np.arange(n - line_words + 1)
         lines = span_hashes(self.words, at, at + line_words)
         chosen = least(lines, run_words - line_words + 1)[starts]
@@ -115,7 +117,11 @@ class Block:
         first, number = starts[cut], np.diff(np.append(cut, len(starts)))
         row = np.searchsorted(self.ends, first, "right")
         span = span_hashes(self.words, first, first + number + run_words - 1)
-        return lines[chosen[cut]].view(np.int64), span.view(np.int64), row, first - self.offsets[row], number
+        line = lines[chosen[cut]]
+        new = np.concatenate([[True], (line[1:] != line[:-1]) | (span[1:] != span[:-1]) | (row[1:] != row[:-1])])
+        at = np.flatnonzero(new)
+        more = np.add.reduceat(np.where(new, 0, number), at)
+        return line[at].view(np.int64), span[at].view(np.int64), row[at], (first - self.offsets[row])[at], number[at], more
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -127,17 +133,17 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def selected_lines(docs: DataFrame, run_words: int, line_words: int) -> DataFrame:
-    """A row per selected line: ``line``, ``span``, ``doc_id``, ``copy``, ``first``, ``number``."""
+    """A row per selected line: ``line``, ``span``, ``doc_id``, ``copy``, ``first``, ``number``, ``more``."""
 
     def run(batches):
         Memo.forget_but("")
         for part in (s for batch in batches for s in slices(batch)):
-            line, span, row, first, number = Block(part.column("text").to_pylist()).selected(run_words, line_words)
+            line, span, row, *places = Block(part.column("text").to_pylist()).selected(run_words, line_words)
             ids, copies = part.column("doc_id").take(pa.array(row)), part.column("copy").take(pa.array(row))
-            small = (pa.array(x.astype(np.int32)) for x in (first, number))
-            yield pa.RecordBatch.from_arrays([pa.array(line), pa.array(span), ids, copies, *small], ["line", "span", "doc_id", "copy", "first", "number"])
+            small = (pa.array(x.astype(np.int32)) for x in places)
+            yield pa.RecordBatch.from_arrays([pa.array(line), pa.array(span), ids, copies, *small], ["line", "span", "doc_id", "copy", "first", "number", "more"])
 
-    return docs.mapInArrow(run, "line long, span long, doc_id long, copy long, first int, number int")
+    return docs.mapInArrow(run, "line long, span long, doc_id long, copy long, first int, number int, more int")
 
 
 def windows_of(docs: DataFrame, run_words: int) -> DataFrame:
@@ -172,24 +178,36 @@ def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int =
     ``docs`` has ``doc_id``, ``text`` and its hash as ``copy``, which tells the texts of a repeated or null id apart.
     Runs may overlap.
     """
-    lines = materialize(selected_lines(docs, run_words, line_words), "selected-lines")
+    spark = docs.sparkSession
+    result = new_location(spark, "repeated-runs")
+    with scratch(spark):
+        found = _runs(docs, run_words, line_words)
+        found.write.parquet(result)
+    return spark.read.schema(found.schema).parquet(result)
+
+
+def _runs(docs: DataFrame, run_words: int, line_words: int) -> DataFrame:
+    selected = materialize(selected_lines(docs, run_words, line_words), "selected-lines")
+    end = F.col("first") + F.col("number") + F.col("more") + (run_words - 1)
+    around = selected.where("more > 0").select("doc_id", "copy", (F.col("first") + F.col("number")).alias("start"), end.alias("end"))
+    common = selected.groupBy("line").agg(F.count("*").alias("n"), F.min("span").alias("least"), F.max("span").alias("most"))
+    common = materialize(common.where("n > 1").select("line", (F.col("least") < F.col("most")).alias("mixed")), "common-lines")
+    lines = materialize(selected.join(common, "line"), "lines")
     place = F.struct("doc_id", "copy", "first")
-    by_span = lines.groupBy("line", "span").agg(F.min(place).alias("place"), F.max("number").alias("number"), F.count("*").alias("n"))
+    by_span = lines.groupBy("line", "span", "mixed").agg(F.min(place).alias("place"), F.max("number").alias("number"), F.count("*").alias("n"))
     spans = materialize(by_span, "spans")
     # Spans that are equal to the end: all but the first go as a whole.
     again = spans.where("n > 1").select("line", "span", "place")
-    whole = lines.join(again, ["line", "span"]).where(place > F.col("place"))
-    whole = whole.select("doc_id", "copy", F.col("first").alias("start"), (F.col("first") + F.col("number") + run_words - 1).alias("end"))
+    whole = lines.join(again, ["line", "span"]).where(place > F.col("place")).select("doc_id", "copy", F.col("first").alias("start"), end.alias("end"))
     # Lines with several spans: the first places of these are extended word by word.
-    mixed = spans.groupBy("line").agg(F.count("*").alias("spans")).where("spans > 1").select("line")
-    tried = spans.join(mixed, "line", "left_semi").groupBy("place.doc_id", "place.copy").agg(F.collect_list(F.struct("line", "place.first", "number")).alias("spans"))
+    tried = spans.where("mixed").groupBy("place.doc_id", "place.copy").agg(F.collect_list(F.struct("line", "place.first", "number")).alias("spans"))
     of_text = docs.alias("d").join(tried.alias("t"), same_text("d", "t")).select("d.doc_id", "d.copy", "d.text", "t.spans")
     windows = materialize(windows_of(of_text, run_words), "windows")
     window = F.struct("doc_id", "copy", "start")
     places = windows.groupBy("line", "hash").agg(F.min(window).alias("place"), F.count("*").alias("n"))
     later = windows.join(places.where("n > 1").select("line", "hash", "place"), ["line", "hash"]).where(window > F.col("place"))
     later = later.select("doc_id", "copy", "start", (F.col("start") + run_words).alias("end"))
-    return whole.unionByName(later).groupBy("doc_id", "copy").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+    return whole.unionByName(around).unionByName(later).groupBy("doc_id", "copy").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
 
 
 def without(text: str, runs: Iterable[tuple[int, int]]) -> tuple[str, int, int]:

@@ -51,7 +51,7 @@ def test_every_repeated_run_shares_a_selected_line():
     for _ in range(200):
         passage = [rng.choice("abcdef") for _ in range(rng.randint(RUN_WORDS, 2 * RUN_WORDS))]
         texts = [" ".join([f"x{rng.random()}"] * rng.randint(0, 70) + passage + [f"z{rng.random()}"] * rng.randint(0, 70)) for _ in range(2)]
-        line, _, row, _, _ = Block(texts).selected(RUN_WORDS, LINE_WORDS)
+        line, _, row, *_ = Block(texts).selected(RUN_WORDS, LINE_WORDS)
         assert set(line[row == 0].tolist()) & set(line[row == 1].tolist())
 
 
