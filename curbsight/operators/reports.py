@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from curbsight import fixed_values as fv
 from curbsight.functions import exact_mean, snap_round
+from curbsight.sources import storage
 
 
 def high_churn(churn: DataFrame, n: int = fv.TOP_N) -> DataFrame:
@@ -111,6 +112,36 @@ def top(rows: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
     return kept.select(F.row_number().over(Window.orderBy(*order)).alias("position"), *rows.columns)
 
 
+def numbered(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """All rows with their position in ``order``, which should end in a unique column.
+
+    Rows are parted by ranges of the order and written with the number of their range, which
+    keeps it the same when a task runs again. Each range is numbered by itself and starts
+    after the rows of those before it; only one count per range reaches the driver. Rows that
+    tie in all of ``order`` are in one range and get positions in any order. ``rows`` may have
+    any columns, ``position`` is replaced; an empty table gives no rows.
+    """
+    rows = rows.drop("position")
+    part, columns = "__range", [F.col(f"`{c}`") for c in rows.columns]
+    ranged = rows.repartitionByRange(*order).select(F.spark_partition_id().alias(part), "*")
+    ranged = storage.materialize(ranged, "ranges")
+    counts = sorted(tuple(r) for r in ranged.groupBy(part).count().collect())  # one row per range
+    before, offsets = 0, []
+    for number, count in counts:
+        offsets.append((number, before))
+        before += count
+    starts = rows.sparkSession.createDataFrame(offsets, f"{part} int, __before long")
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    placed = ranged.withColumn("__within", within).join(starts, part)
+    return placed.select((F.col("__before") + F.col("__within")).alias("position"), *columns)
+
+
+def portfolio_ranks(churn: DataFrame) -> DataFrame:
+    """Every property with its place by complaints, not only the first ones."""
+    rows = churn.select("property_id", "property_name", "churn_risk_label", "complaint_count", "avg_csat")
+    return numbered(rows, [F.desc("complaint_count"), F.asc("property_id")])
+
+
 def _renewals(churn: DataFrame, n: int) -> DataFrame:
     rows = churn.select(
         "property_id", "property_name", "renewal_date", "churn_risk_label", "contract_value", "avg_csat"

@@ -499,6 +499,10 @@ SELECTS = {
         GROUP BY property_name HAVING count(*) > 1""",
     "preview": "SELECT * FROM silver ORDER BY ticket_id LIMIT 10",
     "intent_high_churn": "SELECT * REPLACE (position::INTEGER AS position) FROM r_high_churn",
+    "portfolio_ranks": _numbered(
+        "property_id, property_name, churn_risk_label, complaint_count, avg_csat", "churn",
+        "complaint_count DESC, property_id", n=None,
+    ),
     "intent_low_csat": "SELECT * REPLACE (position::INTEGER AS position) FROM r_low_csat",
     "intent_missed_pickups": "SELECT * REPLACE (position::INTEGER AS position) FROM r_missed",
     "intent_contract_at_risk": "SELECT * REPLACE (position::INTEGER AS position) FROM r_contract",

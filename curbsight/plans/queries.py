@@ -550,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "name_duplicate_check": name_duplicate_check,
     "preview": preview,
     "intent_high_churn": _on(_churn, reports.high_churn),
+    "portfolio_ranks": _on(_churn, reports.portfolio_ranks),
     "intent_low_csat": _on(_churn, reports.low_csat),
     "intent_missed_pickups": _on(_churn, reports.most_missed_pickups),
     "intent_contract_at_risk": _on(_churn, reports.contract_at_risk),

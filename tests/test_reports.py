@@ -203,3 +203,21 @@ def test_fixed_thresholds_and_orders():
         "high churn risk", "low csat", "missed pickups", "contract value at risk", "service performance", "property health", "renewal timing",
     ]
     assert fv.DEFAULT_SERVICE_CATEGORY == "Doorstep Collection"
+
+
+def test_a_whole_result_is_numbered_in_ranges(spark):
+    rows_in = [(i, i * 7919 % 1000 // 10, None if i % 50 == 0 else i % 3, i) for i in range(5000)]
+    df = spark.createDataFrame(rows_in, "id int, score int, other int, position int")
+    order = [F.desc("score"), F.asc_nulls_last("other"), F.asc("id")]
+    result = reports.numbered(df, order)
+    want = sorted(rows_in, key=lambda r: (-r[1], r[2] is None, r[2] or 0, r[0]))
+    assert result.columns == ["position", "id", "score", "other"]
+    assert sorted(rows(result)) == [(i + 1, *r[:3]) for i, r in enumerate(want)]
+    assert "SinglePartition" not in plan(result) and "SinglePartition" not in plan(reports.portfolio_ranks(churn(spark, prop("A"))))
+
+
+def test_numbering_odd_tables(spark):
+    df = spark.createDataFrame([(1, "a b")] * 300 + [(None, "c")], "`a.b` int, text string")
+    result = rows(reports.numbered(df, [F.asc_nulls_first("`a.b`")]))
+    assert sorted(r[0] for r in result) == list(range(1, 302)) and min(result)[1:] == (None, "c")
+    assert rows(reports.numbered(df.limit(0), [F.asc("text")])) == []
