@@ -14,6 +14,7 @@ up by their first word; only recognised sentences are ever shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 import regex
@@ -113,7 +114,8 @@ def recognise(df: DataFrame, rules: dict[str, list[str]] | None = None) -> DataF
     """A row per licence found: ``doc_id``, ``licence``, ``first``, ``last`` (numbers of sentences or lines) and ``times`` it stands there.
 
     Matches run over successive sentences; one that lies inside a longer match
-    of the same document is left out. Rows that repeat an id raise ``times``.
+    of the same text is left out. Texts are matched each by itself, also where
+    they share an id or have none; matches alike in id and place add up in ``times``.
     Null and empty texts, and texts without known sentences, give no rows;
     matches in rows without an id come with a null id. Texts are read whole;
     columns other than ``doc_id`` and ``text`` play no part.
@@ -123,20 +125,23 @@ def recognise(df: DataFrame, rules: dict[str, list[str]] | None = None) -> DataF
     def start():
         def run(rows):
             for doc_id, text in rows:
-                yield from ((doc_id, *hit) for hit in found_in(text, known))
+                hits = list(found_in(text, known))
+                own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() if hits else b""
+                yield from ((doc_id, own, *hit) for hit in hits)
 
         return run
 
-    fields = [("doc_id", pa.int64()), ("licence", pa.string()), *((c, pa.int32()) for c in ("place", "size", "origin", "first", "last"))]
-    hits = map_rows(documents(df), start, "doc_id long, licence string, place int, size int, origin int, first int, last int", fields)
-    starts = hits.groupBy("doc_id", "licence", "origin", "size").agg(
+    fields = [("doc_id", pa.int64()), ("own", pa.binary()), ("licence", pa.string()), *((c, pa.int32()) for c in ("place", "size", "origin", "first", "last"))]
+    hits = map_rows(documents(df), start, "doc_id long, own binary, licence string, place int, size int, origin int, first int, last int", fields)
+    starts = hits.groupBy("doc_id", "own", "licence", "origin", "size").agg(
         F.count_distinct("place").alias("met"), F.count("*").alias("hits"), F.min("first").alias("first"), F.max("last").alias("last")
     )
-    matches = starts.where("met = size").select("doc_id", "licence", "first", "last", F.floor(F.col("hits") / F.col("size")).alias("times"))
-    # A document has few matches: they are compared as one short list.
-    lists = matches.groupBy("doc_id").agg(F.collect_list(F.struct("licence", "first", "last", "times")).alias("all"))
+    matches = starts.where("met = size").select("doc_id", "own", "licence", "first", "last", F.floor(F.col("hits") / F.col("size")).alias("times"))
+    # A text has few matches: they are compared as one short list.
+    lists = matches.groupBy("doc_id", "own").agg(F.collect_list(F.struct("licence", "first", "last", "times")).alias("all"))
     outer = F.filter(
         "all",
         lambda m: ~F.exists("all", lambda o: (o["first"] <= m["first"]) & (o["last"] >= m["last"]) & (o["last"] - o["first"] > m["last"] - m["first"])),
     )
-    return lists.select("doc_id", F.explode(outer).alias("m")).select("doc_id", "m.licence", "m.first", "m.last", "m.times")
+    kept = lists.select("doc_id", F.explode(outer).alias("m")).select("doc_id", "m.*")
+    return kept.groupBy("doc_id", "licence", "first", "last").agg(F.sum("times").alias("times"))

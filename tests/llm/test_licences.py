@@ -70,3 +70,10 @@ def test_a_blank_line_or_other_words_end_a_wrapped_sentence(docs):
     rows = [(1, "One\n\ntwo."), (2, "One\nx two."), (3, "One two\nthree"), (4, "One\ntwo\nthree"), (5, "x one\ntwo")]
     found = {tuple(r) for r in recognise(docs(rows), {"A": ["One two."]}).collect()}
     assert found == {(3, "A", 0, 0, 1), (4, "A", 0, 1, 1)}
+
+
+def test_texts_of_one_id_or_none_do_not_complete_each_other(docs):
+    rules = {"B": ["One two.", "three four."]}
+    rows = [(i, t) for i in (7, None) for t in ("One two. x", "x y. three four.", "One two. three four.", "One two.\nthree four. Other.")]
+    found = {tuple(r) for r in recognise(docs(rows), rules).collect()}
+    assert found == {(7, "B", 0, 1, 2), (None, "B", 0, 1, 2)}
