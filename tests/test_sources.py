@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbsight.operators import audit, documents
+from curbsight.plans.queries import QUERIES
 from curbsight.sources import adapters, csv_files, jdbc, storage, tables, vectors
 from curbsight.streaming import silver_stream
 from tests.helpers import plan, rows, values
@@ -323,6 +324,34 @@ def test_machine_folders_are_refused_on_a_cluster(spark, master):
     assert storage.shared_folder(Cluster("file:///mounted")) == "file:///mounted"
 
 
+def test_a_plain_path_that_executors_find_is_taken_on_a_cluster(spark, tmp_path):
+    """As a cluster has it that names the mount of all machines without a scheme."""
+    real = spark.sparkContext
+
+    class Cluster(Session):
+        def __init__(self, setting, made, name):
+            super().__init__(str(setting), "local-cluster[2,1,1024]")
+            self.folder, self.applicationId = f"file:{made}", name
+            self._jvm, self._jsc, self.defaultParallelism, self.parallelize = real._jvm, real._jsc, 2, real.parallelize
+
+    (tmp_path / "made").mkdir()
+    assert storage.shared_folder(Cluster(tmp_path, tmp_path / "made", "one")) == str(tmp_path)
+    assert storage.new_location(Cluster(f"{tmp_path}/", tmp_path / "made", "two"), "n").startswith(f"{tmp_path}/curbsight/two/n-")
+    for setting, made in ((tmp_path, tmp_path / "unseen"), (tmp_path / "other", tmp_path / "made")):
+        with pytest.raises(ValueError, match="folder of each machine"):
+            storage.shared_folder(Cluster(setting, made, "three"))
+
+
+def test_queries_that_write_run_with_a_plain_path_on_a_cluster(spark, sf_dir, tmp_path, monkeypatch):
+    real, made = spark.sparkContext, tmp_path / "made"
+    made.mkdir()
+    monkeypatch.setattr(real, "master", "local-cluster[2,1,1024]")
+    monkeypatch.setattr(real, "getCheckpointDir", lambda: f"file:{made}")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *a, f=type(spark.conf).get: str(tmp_path) if key == storage.CHECKPOINT_SETTING else f(self, key, *a))
+    assert QUERIES["answer_lines"](spark, sf_dir).count() > 0
+    assert os.listdir(tmp_path / "curbsight")
+
+
 def test_tables_with_files_here_are_dropped(spark, folder):
     tables.write_table(spark.range(1), "kept_elsewhere", folder + "/kept")
     tables.write_table(spark.range(1), "passing_table", storage.new_location(spark, "passing"))
