@@ -108,12 +108,15 @@ class Memo:
             self._size += self._weight(new) + sum(map(len, own.values()))
             self.known.update(own)
 
-    @classmethod
-    def forget_but(cls, kind: str) -> None:
+    @staticmethod
+    def forget_but(kind: str) -> None:
         """Empty the memos of other kinds that earlier tasks have filled in this worker."""
-        for memo in cls._made:
+        for memo in [*Memo._made, *Remembered.made]:
             if memo._kind != kind:
-                memo.known, memo._again, memo._size = {}, set(), 0
+                memo.forget()
+
+    def forget(self) -> None:
+        self.known, self._again, self._size = {}, set(), 0
 
     def _weight(self, keys: set[str]) -> int:
         return sum(map(len, keys)) + self.ENTRY * len(keys)
@@ -124,6 +127,44 @@ class Memo:
         return [b"".join(map(self.known.__getitem__, own)) for own in lists]
 
 
+class Remembered(dict):
+    """What ``compute`` gives for a key, computed when it is asked for first, within a budget of bytes.
+
+    Like :class:`Memo`, for what is computed key by key: known keys cost one
+    lookup each. When half of the budget is full, all that is known grows old;
+    what is asked for again stays, the rest goes when that happens next.
+    """
+
+    made: list[Remembered] = []
+
+    def __init__(self, compute: Callable[[str], bytes], budget: int, kind: str = ""):
+        super().__init__()
+        self._compute, self._half, self._kind = compute, budget // 2, kind
+        self._old: dict[str, bytes] = {}
+        self._size = 0
+        self.made.append(self)
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._old.get(key)
+        if value is None:
+            value = self._compute(key)
+        self._size += len(key) + len(value) + Memo.ENTRY
+        if self._size > self._half:
+            self._old = dict(self)
+            self.clear()
+            self._size = len(key) + len(value) + Memo.ENTRY
+        self[key] = value
+        return value
+
+    def forget(self) -> None:
+        self.clear()
+        self._old, self._size = {}, 0
+
+    def joined(self, keys: list[str]) -> bytes:
+        """What is known of the keys, one after the other."""
+        return b"".join(map(self.__getitem__, keys))
+
+
 def blocks(rows: Iterable[tuple], chars: int) -> Iterator[list[tuple[int, str]]]:
     """Rows ``(id, text)`` in lists of about so many characters, one row at least."""
     block, size = [], 0

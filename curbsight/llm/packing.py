@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbsight.llm.bpe import SPACE, byte_letters
-from curbsight.llm.common import Memo, blocks, documents, map_rows
+from curbsight.llm.common import Remembered, blocks, documents, map_rows
 from curbsight.sources.storage import materialize
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
-#: Bytes of known runs and of known words that a worker remembers.
-MEMORY = 150_000_000
+#: Bytes of known runs and words that a worker remembers.
+MEMORY = 240_000_000
 TOKENS = "tokens"
 #: Fixed value: the words of the vocabulary, in lower case.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -52,9 +52,10 @@ class WordTokenizer:
 
     Such a vocabulary gives a text the ids of its runs of non-white space, one
     after the other, so each distinct run is coded once. A run of Latin-1
-    letters needs no normalising but lower case; its words go to the library's
-    model directly, each distinct one once. Any other run, and one that may
-    hold a special token, goes through the library as it is.
+    letters needs no normalising but lower case; its words, which are runs
+    themselves, go to the library's model directly, each distinct one once.
+    Any other run, and one that may hold a special token, goes through the
+    library as it is.
     """
 
     _made: dict[str, WordTokenizer] = {}
@@ -77,47 +78,41 @@ class WordTokenizer:
         self.size = self._tokenizer.get_vocab_size()
         self._as_bytes = [n.to_bytes(4, "little") for n in range(self.size)]
         self._words = regex.compile(WORDS)
-        self._of_run, self._of_word = Memo(self._encode_runs, MEMORY, TOKENS), Memo(self._encode_words, MEMORY, TOKENS)
+        self._known = Remembered(self._encode_run, MEMORY, TOKENS)  # a word is a run, too
         # str.split() also parts at these four, which Unicode doesn't count as white space
         self._separators = re.compile("[\x1c-\x1f]")
         self._white = re.compile(f"[{SPACE}]+")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        runs = [t.split() if not self._separators.search(t) else [r for r in self._white.split(t) if r] for t in texts]
-        return self._of_run.joined(runs)
-
-    def _encode_runs(self, runs: list[str]) -> list[bytes]:
-        words = [self._words_of(r) for r in runs]
-        self._of_word.learn([w for w in words if w is not None])
-        known = self._of_word.known.__getitem__
-        other = iter(self._by_library([r for r, w in zip(runs, words) if w is None]))
-        return [next(other) if own is None else known(own[0]) if len(own) == 1 else b"".join(map(known, own)) for own in words]
-
-    def _words_of(self, run: str) -> list[str] | None:
-        """The words of a plain run; None for any other."""
-        if run.isascii():
-            if run.isalpha():
-                return [run.lower()]
-            if run[:-1].isalpha():  # with one mark or figure at its end
-                return [run[:-1].lower(), run[-1]]
-        return self._words.findall(run.lower()) if self._is_plain(run) else None
-
-    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
-        as_bytes, tokenize = self._as_bytes, self._model.tokenize
-        for word in words:
-            letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._letters)
-            yield b"".join([as_bytes[t.id] for t in tokenize(letters)])
-
-    def _by_library(self, runs: list[str]) -> Iterator[bytes]:
-        for coded in self._tokenizer.encode_batch_fast(runs, add_special_tokens=False):
-            yield np.array(coded.ids, "<u4").tobytes()
+        runs = (t.split() if not self._separators.search(t) else [r for r in self._white.split(t) if r] for t in texts)
+        return list(map(self._known.joined, runs))
+
+    def _encode_run(self, run: str) -> bytes:
+        if not self._is_plain(run):
+            return self._by_library(run)
+        lower = run.lower()
+        if lower.isalpha():
+            return self._encode_word(run) if lower == run else self._known[lower]
+        if lower[:-1].isalpha():  # with one mark or figure at its end
+            return self._known[lower[:-1]] + self._known[lower[-1]]
+        words = self._words.findall(lower)
+        return self._encode_word(run) if words == [run] else self._known.joined(words)
+
+    def _encode_word(self, word: str) -> bytes:
+        as_bytes = self._as_bytes
+        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._letters)
+        return b"".join([as_bytes[t.id] for t in self._model.tokenize(letters)])
+
+    def _by_library(self, run: str) -> bytes:
+        (coded,) = self._tokenizer.encode_batch_fast([run], add_special_tokens=False)
+        return np.array(coded.ids, "<u4").tobytes()
 
     @staticmethod
     def _is_plain(run: str) -> bool:
         if "<|" in run:
             return False
         try:
-            run.encode("latin-1")
+            run.isascii() or run.encode("latin-1")
         except UnicodeEncodeError:
             return False
         return True

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from curbsight.llm import packing
+from curbsight.llm.common import Memo, Remembered
 from curbsight.llm.queries import WORD_VOCABULARY, vocabulary
 
 MODEL = vocabulary(WORD_VOCABULARY)
@@ -165,3 +166,28 @@ def test_empty_table(docs):
 def test_small_inputs(lengths):
     bins, offsets = packing.place(np.array(lengths, np.int64), 2048)
     assert len(bins) == len(offsets) == len(lengths)
+
+
+@pytest.mark.parametrize("limit", [0, 500, 1000, 10**6])
+def test_what_is_remembered_within_a_budget_changes_nothing(limit):
+    asked = []
+    known = Remembered(lambda key: asked.append(key) or key.upper().encode(), limit, "other")
+    for _ in range(3):
+        assert [known.joined(keys) for keys in (["a", "b", "a"], ["c", "d", "a"], [])] == [b"ABA", b"CDA", b""]
+        assert (len(known) + len(known._old)) * (Memo.ENTRY + 2) <= limit or len(known) == 1
+    assert len(asked) == 4 if limit == 10**6 else len(asked) >= 4
+    Memo.forget_but("one")
+    assert not known and not known._old and known["a"] == b"A"
+
+
+def test_runs_and_words_are_coded_once(monkeypatch):
+    """Each is computed when it is asked for first; a word that stood alone is known within other runs."""
+    tokenizer = packing.WordTokenizer(MODEL)
+    coded, encode = [], tokenizer._encode_word
+    monkeypatch.setattr(tokenizer, "_encode_word", lambda word: coded.append(word) or encode(word))
+    texts = ["tree Tree tree, TREE. 's it's ''s !'s", "tree's tree \u00e9t\u00e9 \u00c9T\u00c9 \u00e9t\u00e9\u00b2 \u6f22 <|x|> tree"]
+    expected = [packing.WordTokenizer.of(MODEL)._by_library(t) for t in texts]
+    assert tokenizer.encode(texts) == expected and len(coded) == len(set(coded))
+    assert coded.count("tree") == 1
+    coded.clear()
+    assert tokenizer.encode(texts) == expected and not coded
