@@ -9,8 +9,9 @@ shingles, where a single edit changes most long ones. Two texts agree in a band
 the same order, so keys follow edit similarity, not just overlap.
 
 Texts with equal words collapse first. Per key the text of least id leads, and
-all others are compared with it: a star of pairs, never all pairs. Verified
-pairs form classes. Where a key's texts are left in more than one class,
+all others are to be in its class or compared with it: a star of pairs, never
+all pairs. A text is compared with the least of its leaders first, and with the
+others where classes are apart after that. Verified pairs form classes. Where a key's texts are left in more than one class,
 another of them leads, drawn by hash, and those of other classes than its own
 are compared with it. That is done ROUNDS times; from the second on the key is
 joined with those of the next bands, so texts that only share a passage part
@@ -241,6 +242,14 @@ def classes_of(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "class_id")
 
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose texts are in different classes; a text without label is a class of its own."""
+    for side in ("a", "b"):
+        own = labels.select(F.col("doc_id").alias(side), F.col("class_id").alias(f"class_{side}"))
+        pairs = pairs.join(own, side, "left").withColumn(f"class_{side}", F.coalesce(f"class_{side}", side))
+    return pairs.where("class_a <> class_b").select("a", "b")
+
+
 def drawn_stars(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (``a`` > ``b``) of a leader, drawn by hash for each key, with the key's members of other classes than its own.
 
@@ -471,8 +480,14 @@ def labelled(df: DataFrame) -> DataFrame:
     # Whatever is compared later shares a key, so it is in these pairs.
     compared = tried.select(F.col("a").alias("number")).union(tried.select("b")).distinct()
     words = materialize(hashed_words(docs, equal.join(compared, "number").select("doc_id", "copy", "number")), "words")
-    links = materialize(verified(tried, words), "verified")
+    # One leader each settles most classes; further pairs of a text are compared where classes are apart.
+    least = materialize(tried.groupBy("a").agg(F.min("b").alias("b")), "least-pairs")
+    links = materialize(verified(least, words), "verified")
     labels = classes_of(links)
+    found = materialize(verified(materialize(apart(tried.join(least, ["a", "b"], "left_anti"), labels), "pairs"), words), "verified")
+    if not found.isEmpty():
+        links = materialize(links.union(found), "all-verified")
+        labels = classes_of(links)
     starred = members
     for turn in range(1, ROUNDS + 1):
         members = unresolved(members, labels, firsts, turn)

@@ -249,3 +249,19 @@ def test_different_texts_of_one_id_go_apart(docs):
     rows = [(1, "a b c d e f"), (1, "a clean text of its own"), (2, "a b c d e f"), (3, "another one"), (3, "a b c d e f"), (3, "another one")]
     kept = [(r.doc_id, r.text) for r in representatives(docs(rows)).collect()]
     assert sorted(kept) == [(1, "a b c d e f"), (1, "a clean text of its own"), (3, "another one")]
+
+
+def test_a_large_group_of_near_copies_is_compared_with_few_leaders(spark, monkeypatch):
+    """Pairs compared are about as many as texts, however many keys and leaders each of them has."""
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(300):
+        own = list(base)
+        own[draw.randrange(120)] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    compared, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, words: compared.append(pairs.count()) or verified(pairs, words))
+    found = classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in found} == {(0, 300)}
+    assert sum(compared) < 2 * len(texts)
