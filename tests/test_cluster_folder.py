@@ -9,6 +9,7 @@ from curbsight.sources import storage
 
 WRITING = [
     "answer_texts",
+    "bronze_csv_by_name",
 ]
 
 
