@@ -10,6 +10,7 @@ from curbsight.sources import storage
 WRITING = [
     "answer_texts",
     "bronze_csv_by_name",
+    "bronze_csv_rejects",
 ]
 
 
