@@ -11,6 +11,7 @@ WRITING = [
     "answer_texts",
     "bronze_csv_by_name",
     "bronze_csv_rejects",
+    "bronze_csv_scan",
 ]
 
 
