@@ -12,6 +12,7 @@ WRITING = [
     "bronze_csv_by_name",
     "bronze_csv_rejects",
     "bronze_csv_scan",
+    "bronze_table_roundtrip",
 ]
 
 
