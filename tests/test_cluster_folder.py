@@ -13,6 +13,7 @@ WRITING = [
     "bronze_csv_rejects",
     "bronze_csv_scan",
     "bronze_table_roundtrip",
+    "catalog_tables",
 ]
 
 
