@@ -14,6 +14,7 @@ WRITING = [
     "bronze_csv_scan",
     "bronze_table_roundtrip",
     "catalog_tables",
+    "describe_gold",
 ]
 
 
