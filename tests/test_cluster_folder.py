@@ -15,6 +15,7 @@ WRITING = [
     "bronze_table_roundtrip",
     "catalog_tables",
     "describe_gold",
+    "embed_documents",
 ]
 
 
