@@ -16,6 +16,7 @@ WRITING = [
     "catalog_tables",
     "describe_gold",
     "embed_documents",
+    "fallback_churn_from_export",
 ]
 
 
