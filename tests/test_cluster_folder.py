@@ -18,6 +18,7 @@ WRITING = [
     "embed_documents",
     "fallback_churn_from_export",
     "gold_churn_from_base",
+    "gold_incremental",
 ]
 
 
