@@ -19,6 +19,7 @@ WRITING = [
     "fallback_churn_from_export",
     "gold_churn_from_base",
     "gold_incremental",
+    "gold_service_from_base",
 ]
 
 
