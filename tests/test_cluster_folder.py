@@ -20,6 +20,7 @@ WRITING = [
     "gold_churn_from_base",
     "gold_incremental",
     "gold_service_from_base",
+    "gold_snapshot",
 ]
 
 
