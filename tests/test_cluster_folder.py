@@ -21,6 +21,7 @@ WRITING = [
     "gold_incremental",
     "gold_service_from_base",
     "gold_snapshot",
+    "gold_table_roundtrip",
 ]
 
 
