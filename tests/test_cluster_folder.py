@@ -22,6 +22,7 @@ WRITING = [
     "gold_service_from_base",
     "gold_snapshot",
     "gold_table_roundtrip",
+    "index_roundtrip",
 ]
 
 
