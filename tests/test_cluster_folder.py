@@ -23,6 +23,7 @@ WRITING = [
     "gold_snapshot",
     "gold_table_roundtrip",
     "index_roundtrip",
+    "knn_blocks",
 ]
 
 
