@@ -24,6 +24,7 @@ WRITING = [
     "gold_table_roundtrip",
     "index_roundtrip",
     "knn_blocks",
+    "knn_cells",
 ]
 
 
