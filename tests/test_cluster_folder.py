@@ -25,6 +25,7 @@ WRITING = [
     "index_roundtrip",
     "knn_blocks",
     "knn_cells",
+    "knn_preview",
 ]
 
 
