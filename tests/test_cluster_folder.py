@@ -26,6 +26,7 @@ WRITING = [
     "knn_blocks",
     "knn_cells",
     "knn_preview",
+    "knn_text",
 ]
 
 
