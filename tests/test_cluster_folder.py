@@ -27,6 +27,7 @@ WRITING = [
     "knn_cells",
     "knn_preview",
     "knn_text",
+    "portfolio_ranks",
 ]
 
 
