@@ -28,6 +28,7 @@ WRITING = [
     "knn_preview",
     "knn_text",
     "portfolio_ranks",
+    "question_state",
 ]
 
 
