@@ -29,6 +29,7 @@ WRITING = [
     "knn_text",
     "portfolio_ranks",
     "question_state",
+    "rag_context",
 ]
 
 
