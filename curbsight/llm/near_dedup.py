@@ -242,12 +242,26 @@ def classes_of(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "class_id")
 
 
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose texts are in different classes; a text without label is a class of its own."""
+def between_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose texts are in different classes, with ``class_a`` and ``class_b``; a text without label is a class of its own."""
     for side in ("a", "b"):
         own = labels.select(F.col("doc_id").alias(side), F.col("class_id").alias(f"class_{side}"))
         pairs = pairs.join(own, side, "left").withColumn(f"class_{side}", F.coalesce(f"class_{side}", side))
-    return pairs.where("class_a <> class_b").select("a", "b")
+    return pairs.where("class_a <> class_b")
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose texts are in different classes."""
+    return between_classes(pairs, labels).select("a", "b")
+
+
+def rejoined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only classes are followed, each as one, not the links that have made them."""
+    between = between_classes(links, labels).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    merged = classes_of(between).withColumnRenamed("class_id", "joins")
+    own = labels.join(merged.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+    fresh = merged.join(labels, "doc_id", "left_anti").withColumnRenamed("joins", "class_id")
+    return materialize(own.select("doc_id", F.coalesce("joins", "class_id").alias("class_id")).union(fresh.select("doc_id", "class_id")), "labels")
 
 
 def drawn_stars(members: DataFrame, turn: int) -> DataFrame:
@@ -482,25 +496,22 @@ def labelled(df: DataFrame) -> DataFrame:
     words = materialize(hashed_words(docs, equal.join(compared, "number").select("doc_id", "copy", "number")), "words")
     # One leader each settles most classes; further pairs of a text are compared where classes are apart.
     least = materialize(tried.groupBy("a").agg(F.min("b").alias("b")), "least-pairs")
-    links = materialize(verified(least, words), "verified")
-    labels = classes_of(links)
+    labels = classes_of(materialize(verified(least, words), "verified"))
     found = materialize(verified(materialize(apart(tried.join(least, ["a", "b"], "left_anti"), labels), "pairs"), words), "verified")
     if not found.isEmpty():
-        links = materialize(links.union(found), "all-verified")
-        labels = classes_of(links)
+        labels = rejoined(labels, found)
     starred = members
     for turn in range(1, ROUNDS + 1):
         members = unresolved(members, labels, firsts, turn)
         pairs = materialize(drawn_stars(members, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
         found = materialize(verified(pairs, words), "verified")
         if not found.isEmpty():
-            links = materialize(links.union(found), "all-verified")
-            labels = classes_of(links)
+            labels = rejoined(labels, found)
         tried = materialize(tried.union(pairs), "tried") if turn < ROUNDS else None
     mixed_texts = unresolved(starred, labels, firsts, 1).groupBy("doc_id", "class_id").agg(F.min("key").alias("family"))
     found = materialize(links_of_several_classes(materialize(mixed_texts, "mixed-texts"), words), "verified")
     if not found.isEmpty():
-        labels = classes_of(links.union(found))
+        labels = rejoined(labels, found)
     numbered = equal.select("words_digest", "number").join(labels.withColumnRenamed("doc_id", "number"), "number", "left")
     numbered = numbered.select("words_digest", F.coalesce("class_id", "number").alias("label"))
     return materialize(sketched.select("doc_id", "copy", "words_digest").join(numbered, "words_digest").select("doc_id", "copy", "label"), "labelled")

@@ -265,3 +265,36 @@ def test_a_large_group_of_near_copies_is_compared_with_few_leaders(spark, monkey
     found = classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     assert {(r.class_id, r.class_size) for r in found} == {(0, 300)}
     assert sum(compared) < 2 * len(texts)
+
+
+def test_further_links_join_classes_as_all_links_together_do(spark):
+    draw = random.Random(7)
+    links = [(max(a, b), min(a, b)) for a, b in ((draw.randrange(200), draw.randrange(200)) for _ in range(150)) if a != b]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labels = near_dedup.classes_of(frame(links[:60]))
+    for further in (links[60:100], links[100:], links[:3]):
+        labels = near_dedup.rejoined(labels, frame(further))
+    wanted = near_dedup.classes_of(frame(links))
+    found = [(r.doc_id, r.class_id) for r in labels.select("doc_id", "class_id").collect()]
+    assert sorted(found) == sorted((r.doc_id, r.class_id) for r in wanted.collect())
+
+
+def test_links_within_classes_are_not_followed_again(spark, monkeypatch):
+    """Each further step looks at its own new links only, so rows don't add up over the steps."""
+    draw = random.Random(6)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(60)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 150):
+        own = list(base)
+        for _ in range(draw.randrange(1, 4)):
+            own[draw.randrange(60)] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    followed, found, of, verified, last = [], [], near_dedup.classes_of, near_dedup.verified, near_dedup.links_of_several_classes
+    noted = lambda df: found.append(df.count()) or df
+    monkeypatch.setattr(near_dedup, "classes_of", lambda links: followed.append(links.count()) or of(links))
+    monkeypatch.setattr(near_dedup, "verified", lambda *a: noted(verified(*a)))
+    monkeypatch.setattr(near_dedup, "links_of_several_classes", lambda *a: noted(last(*a)))
+    rows = classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in rows} == expected(texts)
+    assert len(followed) > 2
+    assert sum(followed) <= sum(found)
