@@ -29,9 +29,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from curbsight import fixed_values as fv
 from curbsight.operators import nearest as plain
+from curbsight.operators.nearest import SCORE_CELLS, _Best, _ids, _matrix
 from curbsight.sources.storage import materialize
 
-# The helpers below travel with the task, so executors need no copy of this package.
+# The helpers below travel with the task, so executors need no copy of this package. In tasks they
+# go by their own names: a module that is named there travels whole, with all that it imports.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Centres are fitted on so many vectors at most, those of least id hash.
@@ -46,7 +48,7 @@ SLACK = 1e-9
 def fit_centres(vectors: DataFrame, cells: int | None = None, vec_id: str = "vec_id", embedding: str = "embedding") -> np.ndarray:
     """Centres from a bounded sample: farthest-first starts, then rounds of means. Fewer where the sample has fewer different vectors."""
     sample = vectors.orderBy(F.xxhash64(vec_id)).limit(SAMPLE).select(embedding).toArrow().column(0).combine_chunks()
-    points = np.unique(plain._matrix(sample), axis=0)
+    points = np.unique(_matrix(sample), axis=0)
     wanted = cells or max(1, min(MAX_CELLS, vectors.count() // VECTORS_PER_CELL, len(points) // 8))
     order = np.random.default_rng(7).permutation(len(points))
     centres = points[order[:wanted]]
@@ -62,7 +64,7 @@ def fit_centres(vectors: DataFrame, cells: int | None = None, vec_id: str = "vec
 def nearest_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each point its nearest centre and the distance to it."""
     own, distance = np.zeros(len(points), np.int64), np.zeros(len(points))
-    step = max(1, plain.SCORE_CELLS // max(1, len(centres)))
+    step = max(1, SCORE_CELLS // max(1, len(centres)))
     norms = np.einsum("ij,ij->i", centres, centres)
     for at in range(0, len(points), step):
         part = points[at : at + step]
@@ -87,7 +89,7 @@ def build(vectors: DataFrame, path: str, cells: int | None = None, vec_id: str =
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, distance = nearest_centre(plain._matrix(batch.column(1)), shipped.value)
+            own, distance = nearest_centre(_matrix(batch.column(1)), shipped.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(distance), pa.array(own.astype(np.int32))], schema=out)
 
     # Sorted within tasks: each writes one file per cell it meets, without moving vectors.
@@ -119,10 +121,11 @@ class CellIndex(NamedTuple):
     sizes: np.ndarray
     centres: np.ndarray
 
-    def bounds(self, points: np.ndarray) -> np.ndarray:
-        """Per query and cell: no vector of the cell is nearer than this."""
-        to_centres = np.sqrt(np.maximum(((points[:, None, :] - self.centres[None]) ** 2).sum(axis=2), 0.0))
-        return np.maximum(to_centres * (1 - SLACK) - self.radii * (1 + SLACK) - SLACK, 0.0)
+
+def _bounds(points: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Per query and cell: no vector of the cell is nearer than this."""
+    to_centres = np.sqrt(np.maximum(((points[:, None, :] - centres[None]) ** 2).sum(axis=2), 0.0))
+    return np.maximum(to_centres * (1 - SLACK) - radii * (1 + SLACK) - SLACK, 0.0)
 
 
 def search(index: CellIndex, queries: DataFrame, k: int = fv.RETRIEVAL_K, query_id: str = "query_id", embedding: str = "embedding", visits: int | None = None) -> DataFrame:
@@ -153,32 +156,33 @@ def _wanted(index: CellIndex, queries: DataFrame, k: int, visits: int | None, fi
 
     Which cells a query has seen follows from the query alone, so it is worked out again.
     """
-    shipped = queries.sparkSession.sparkContext.broadcast(index._replace(vectors=None))
+    # Arrays only: a broadcast names the classes of its value, which executors without this package don't know.
+    shipped = queries.sparkSession.sparkContext.broadcast((index.cells, index.radii, index.sizes, index.centres))
     fields = [queries.schema["query_id"], queries.schema["embedding"], T.StructField("cell", T.IntegerType())]
     schema = T.StructType(fields)
     out = to_arrow_schema(schema)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = shipped.value
+        cells, radii, sizes, centres = shipped.value
         for whole in batches:
-            step = max(1, plain.SCORE_CELLS // cells.centres.size)
+            step = max(1, SCORE_CELLS // centres.size)
             for at in range(0, whole.num_rows, step):
                 batch = whole.slice(at, step)
-                points = plain._matrix(batch.column(1))
-                bounds = cells.bounds(points)
-                middle = ((points[:, None, :] - cells.centres[None]) ** 2).sum(axis=2)
+                points = _matrix(batch.column(1))
+                bounds = _bounds(points, centres, radii)
+                middle = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2)
                 order = np.lexsort((middle, bounds), axis=1)
-                held = np.cumsum(cells.sizes[order], axis=1)
+                held = np.cumsum(sizes[order], axis=1)
                 seen = np.concatenate([np.zeros((len(points), 1), bool), held[:, :-1] >= k], axis=1) == 0
                 if visits is not None:
-                    seen = np.arange(len(cells.cells))[None] < visits
+                    seen = np.arange(len(cells))[None] < visits
                     seen = np.broadcast_to(seen, order.shape)
                 if first_seen:
                     worst = np.array([np.inf if w is None else w for w in batch.column(2).to_pylist()])
                     near = np.take_along_axis(bounds, order, axis=1) ** 2 <= worst[:, None] * (1 + SLACK)
                     seen = ~seen & near
                 row, place = np.nonzero(seen)
-                chosen = cells.cells[order[row, place]].astype(np.int32)
+                chosen = cells[order[row, place]].astype(np.int32)
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(chosen)], schema=out)
 
@@ -225,8 +229,8 @@ def _met(index: CellIndex, wanted: DataFrame, k: int) -> DataFrame:
         if block.num_rows == 0 or chunk.num_rows == 0:
             return out.empty_table()
         block, chunk = block.combine_chunks(), chunk.combine_chunks()
-        best = plain._Best(plain._matrix(block.column(1).chunk(0)), k)
-        best.add(plain._ids(chunk.column(0).chunk(0)), plain._matrix(chunk.column(1).chunk(0)))
+        best = _Best(_matrix(block.column(1).chunk(0)), k)
+        best.add(_ids(chunk.column(0).chunk(0)), _matrix(chunk.column(1).chunk(0)))
         return best.table(block.column(0).chunk(0), out)
 
     keys = ["cell", "block", "chunk"]

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +92,19 @@ def test_fewer_vectors_than_k_and_none(spark, folder):
 def test_bad_vectors_fail(spark, folder):
     with pytest.raises(Exception, match="must"):
         cells.build(spark.createDataFrame([(1, None)], "vec_id long, embedding array<double>"), f"{folder}/index")
+
+
+def test_tasks_need_no_copy_of_the_package(sf_dir, tmp_path):
+    """In a session whose Python workers, unlike the driver, can't import the library."""
+    code = """if True:
+        import sys
+        sys.path.insert(0, sys.argv[1])
+        from curbsight.plans.queries import QUERIES
+        from curbsight.session import local_session
+        spark = local_session(2, "workers without the package")
+        print("rows:", QUERIES["knn_cells"](spark, sys.argv[2]).count())
+    """
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", code, repo, sf_dir], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "rows: 50" in ran.stdout, ran.stderr[-2000:]
