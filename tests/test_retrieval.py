@@ -5,12 +5,14 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbsight.operators import documents, evidence, nearest, reports
 from curbsight.operators.encoder import TermEncoder, encode_with_model
 from curbsight.operators.gold import churn_risk
 from curbsight.operators.silver import to_silver
 from curbsight.plans import assistant
+from curbsight.plans.queries import QUERIES
 from curbsight.sources import adapters, storage
 from tests.helpers import plan, rows, values
 
@@ -85,6 +87,43 @@ def test_blocks_move_few_copies_of_the_corpus(spark):
     assert nearest._cuts(1_000_000, nearest.MAX_CHUNK_VALUES // 768) == 62
 
 
+def test_every_block_meets_every_chunk_in_a_task_of_its_own(spark, monkeypatch):
+    """Groups that are merged by their bytes keep few cores busy for long."""
+    monkeypatch.setattr(nearest, "LEAST_CUT_ROWS", 20)
+    rng = np.random.default_rng(2)
+    corpus, queries = np.float32(rng.normal(size=(400, 4))), np.float32(rng.normal(size=(300, 4)))
+    taken, grid = [], nearest._grid
+    monkeypatch.setattr(nearest, "_grid", lambda *sizes: taken.append(grid(*sizes)) or taken[-1])
+    found = nearest.nearest(frame(spark, range(400), corpus, "vec_id"), frame(spark, range(300), queries, "query_id"), 5, max_shipped=10)
+    assert found_ids(found) == brute_force(range(400), corpus, range(300), queries, 5)
+    (blocks, chunks), = taken
+    assert blocks * chunks >= nearest.TASKS_PER_CORE * spark.sparkContext.defaultParallelism and blocks > chunks
+    schema = T.StructType().add("query_id", "long").add("vec_id", "long").add("d2", "double")
+    sides = frame(spark, range(400), corpus, "vec_id"), frame(spark, range(300), queries, "query_id")
+    candidates = nearest._block_candidates(*sides, schema, 5, 50_000)
+    tasks = candidates.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == blocks * chunks and sum(r["count"] for r in tasks) == 300 * chunks * 5
+
+
+def test_blocks_and_chunks_follow_memory_then_cores():
+    assert nearest._grid(300, 400, 600, 32) == (1, 2)  # too few rows to cut further
+    assert nearest._grid(70_000, 70_000, 97_656, 24) == (8, 3)
+    assert nearest._grid(1_000_000, 1_000_000, 97_656, 24) == (21, 21)
+
+
+@pytest.mark.parametrize("name", ["index_roundtrip", "knn_text", "rag_context", "rag_prompt", "knn_preview", "request_answers", "question_state", "recommendation_prompt"])
+def test_a_large_question_set_gives_the_same_rows(spark, sf_dir, name, monkeypatch):
+    """The way of a question set too large to ship, cut for many tasks."""
+    small = QUERIES[name](spark, sf_dir)
+    small = sorted(map(str, rows(small)))
+    monkeypatch.setattr(nearest, "MAX_SHIPPED_VALUES", 1)
+    monkeypatch.setattr(nearest, "LEAST_CUT_ROWS", 5)
+    taken, grid = [], nearest._grid
+    monkeypatch.setattr(nearest, "_grid", lambda *sizes: taken.append(grid(*sizes)) or taken[-1])
+    assert sorted(map(str, rows(QUERIES[name](spark, sf_dir)))) == small
+    assert len(taken) == 1 and taken[0][0] * taken[0][1] > 8
+
+
 def test_text_ids_and_small_corpus(spark):
     corpus = frame(spark, ["b", "a"], [[1, 0], [1, 0]], "vec_id", "string")
     found = nearest.nearest(corpus, frame(spark, ["q"], [[0, 0]], "query_id", "string"))
